@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierkit.functions.casts import strict_cast
@@ -54,14 +54,16 @@ def dedup_first(
 
     "First" needs a total order: pass one (ties are then broken arbitrarily),
     or leave ``order_by`` unset to use the stored order of a file table
-    (write time, file, row).  Null keys form one group.
+    (write time, file, row).  Null keys form one group; null order values
+    sort first.
 
-    Plan: one hash shuffle on the key, with a partial ``min_by`` before it, so
-    a key holding a third of all rows is reduced to one row per input task
-    before anything moves — no task ever holds a whole group.
+    Plan: ``row_number() = 1`` over a window on the key.  Catalyst turns the
+    filter into a partial group limit *before* the hash shuffle, so every
+    input task forwards at most one row per key: a key holding a third of all
+    rows moves as one row per task, and no task ever holds a whole group.
     """
     keys = as_list(subset)
     require(df, keys, "key columns")
-    row = F.struct(*[q(c) for c in df.columns])
-    order = F.struct(*_order_cols(order_by))
-    return df.groupBy(*[q(k) for k in keys]).agg(F.min_by(row, order).alias("__first")).select("__first.*")
+    window = Window.partitionBy(*[q(k) for k in keys]).orderBy(*_order_cols(order_by))
+    rank = "__first_rank"
+    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)
