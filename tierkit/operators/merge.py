@@ -11,13 +11,13 @@ a Parquet append:
 * an absent target is created from the whole source (no de-duplication).
 
 Plan.  Only the key columns of the target are read (Catalyst prunes the
-rest).  When the distinct source keys are provably small — counted in bytes
-before anything is broadcast — the target is never shuffled: its keys are
-semi-joined against the broadcast source keys, the few hits are
-de-duplicated and broadcast back into the anti join.  Otherwise the target
-keys are de-duplicated map-side (a key holding a third of the table
-collapses before the shuffle) and the anti join shuffles both sides, with
-AQE splitting a skewed source key.
+rest).  When the source keys are provably small — their bytes are summed in
+one scan before anything is broadcast — the target is never shuffled: its
+keys are semi-joined against the broadcast source keys, the hits (no more
+than the source keys) are de-duplicated and broadcast back into the anti
+join.  Otherwise the target keys are de-duplicated map-side (a key holding a
+third of the table collapses before the shuffle) and the anti join shuffles
+both sides, with AQE splitting a skewed source key.
 """
 
 from __future__ import annotations
@@ -129,6 +129,23 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(m.group(1)) * units.get(m.group(2) or "b", 1)
 
 
+def _all(conds: list[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
+def source_key_bytes(source: DataFrame, keys: Sequence[KeyPair]) -> int | None:
+    """Upper bound, in bytes, of the source's key columns (one scan, no
+    shuffle); ``None`` if a key type has no known width."""
+    widths = [_width(q(k.source), source.schema[k.source].dataType) for k in keys]
+    if any(w is None for w in widths):
+        return None
+    total = source.select(sum(widths).alias("w")).agg(F.coalesce(F.sum("w"), F.lit(0)).alias("b"))
+    return int(total.first()["b"])
+
+
 def new_rows(
     source: DataFrame,
     target: DataFrame,
@@ -136,34 +153,23 @@ def new_rows(
     broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of ``source`` that no ``target`` row matches on ``keys``."""
-    spark = source.sparkSession
-    limit = _broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
+    limit = _broadcast_limit(source.sparkSession) if broadcast_max_bytes is None else broadcast_max_bytes
     t_keys = target.select(*[q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)])
 
-    widths = [_width(q(k.source), source.schema[k.source].dataType) for k in keys]
-    if limit > 0 and all(w is not None for w in widths):
-        s_keys = source.select(*[q(k.source).alias(f"__s{i}") for i, k in enumerate(keys)]).distinct()
-        size = s_keys.select(sum(_width(F.col(f"__s{i}"), source.schema[k.source].dataType) for i, k in enumerate(keys)).alias("w"))
-        n_bytes = size.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("b")).first()["b"]
-        if n_bytes <= limit:
-            # Target keys that occur in the source: bounded by the source keys.
-            semi = [_eq(F.col(f"__t{i}"), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)]
-            cond = semi[0]
-            for c in semi[1:]:
-                cond = cond & c
-            hits = t_keys.join(F.broadcast(s_keys), cond, "left_semi").distinct()
-            anti = [_eq(source[_ref(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)]
-            on = anti[0]
-            for c in anti[1:]:
-                on = on & c
-            return source.join(F.broadcast(hits), on, "left_anti")
+    if limit > 0:
+        n_bytes = source_key_bytes(source, keys)
+        if n_bytes is not None and n_bytes <= limit:
+            # Broadcast the (measured) source keys; the target is only scanned.
+            s_keys = source.select(*[q(k.source).alias(f"__s{i}") for i, k in enumerate(keys)])
+            semi = _all([_eq(F.col(f"__t{i}"), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
+            # Target keys that occur in the source: no more than the source keys.
+            hits = t_keys.join(F.broadcast(s_keys), semi, "left_semi").distinct()
+            anti = _all([_eq(source[_ref(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
+            return source.join(F.broadcast(hits), anti, "left_anti")
 
     t_distinct = t_keys.distinct()
-    anti = [_eq(source[_ref(k.source)], t_distinct[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)]
-    on = anti[0]
-    for c in anti[1:]:
-        on = on & c
-    return source.join(t_distinct, on, "left_anti")
+    anti = _all([_eq(source[_ref(k.source)], t_distinct[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
+    return source.join(t_distinct, anti, "left_anti")
 
 
 def _check_schema(source: DataFrame, target_schema: T.StructType) -> DataFrame:
