@@ -194,3 +194,16 @@ def test_stamp_capture_constant_and_column(spark):
     per_row = stamp_capture(df, F.col("ts")).first()
     assert (per_row["fecha_consulta"], per_row["hora_consulta"]) == (dt.date(2024, 1, 2), "03:04:05")
     assert stamp_capture(df).columns == ["ts", "fecha_consulta", "hora_consulta"]
+
+
+def test_dedup_ties_broken_by_remaining_columns(spark):
+    data = [(1, 1, "b", 2.0), (1, 1, "a", 9.0), (1, 1, "a", 3.0), (2, 0, "z", None)]
+    df = spark.createDataFrame(data, "k int, o int, v string, w double")
+    for parts in (1, 3):
+        out = dedup_first(df.repartition(parts), "k", "o")
+        assert rows(out) == [(1, 1, "a", 3.0), (2, 0, "z", None)]
+
+
+def test_dedup_skips_unorderable_tiebreakers(spark):
+    df = spark.createDataFrame([(1, 1, {"x": 1}), (1, 0, {"y": 2})], "k int, o int, m map<string,int>")
+    assert [r["m"] for r in dedup_first(df, "k", "o").collect()] == [{"y": 2}]

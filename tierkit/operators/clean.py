@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierkit.functions.casts import strict_cast
 from tierkit.operators._names import as_list, q, require
@@ -38,11 +39,25 @@ def cast_columns(df: DataFrame, mapping: Mapping[str, str], nulls: str = "fail")
     return df.withColumns({c: strict_cast(q(c), t, nulls=nulls, label=c) for c, t in mapping.items()})
 
 
-def _order_cols(order_by: str | Column | Sequence[str | Column] | None) -> list[Column]:
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType) or dtype.typeName() == "variant":
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return True
+
+
+def _order_cols(df: DataFrame, keys: list[str], order_by: str | Column | Sequence[str | Column] | None) -> list[Column]:
     if order_by is None:
         return [F.col(c) for c in FILE_ORDER]
     items = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    return [q(c) if isinstance(c, str) else c for c in items]
+    named = {c for c in items if isinstance(c, str)} | set(keys)
+    # Ties on the given order are broken by the remaining columns, so the kept
+    # row depends only on the data — a recomputed task keeps the same row.
+    tiebreak = [q(f.name) for f in df.schema.fields if f.name not in named and _orderable(f.dataType)]
+    return [q(c) if isinstance(c, str) else c for c in items] + tiebreak
 
 
 def dedup_first(
@@ -52,10 +67,10 @@ def dedup_first(
 ) -> DataFrame:
     """Keep the first row of each ``subset`` key under ``order_by``.
 
-    "First" needs a total order: pass one (ties are then broken arbitrarily),
-    or leave ``order_by`` unset to use the stored order of a file table
-    (write time, file, row).  Null keys form one group; null order values
-    sort first.
+    "First" needs an order: pass one (ties are broken by the remaining
+    columns in schema order, so the result never depends on task timing), or
+    leave ``order_by`` unset to use the stored order of a file table (write
+    time, file, row).  Null keys form one group; nulls sort first.
 
     Plan: ``row_number() = 1`` over a window on the key.  Catalyst turns the
     filter into a partial group limit *before* the hash shuffle, so every
@@ -64,6 +79,6 @@ def dedup_first(
     """
     keys = as_list(subset)
     require(df, keys, "key columns")
-    window = Window.partitionBy(*[q(k) for k in keys]).orderBy(*_order_cols(order_by))
+    window = Window.partitionBy(*[q(k) for k in keys]).orderBy(*_order_cols(df, keys, order_by))
     rank = "__first_rank"
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

@@ -8,6 +8,7 @@ write path is part of what the oracle checks.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -66,7 +67,7 @@ ISO_US = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", T._parse_datatype_string(TABLES[name]))
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", TABLES[name])
 
 
 def _schema(df: DataFrame) -> T.StructType:
@@ -127,6 +128,27 @@ def q_envelope_ingest(spark, sf_dir):
     return ingest_envelope(spark, landing, "Rows", _schema(customer), multi_line=False)
 
 
+def q_envelope_documents(spark, sf_dir):
+    """One response document per file, read whole (multi-line mode)."""
+    orders = table(spark, sf_dir, "orders")
+    landing = scratch_path(spark, "landing-orders")
+    write_envelopes(orders, landing, "Rows", rows_per_response=5000, file_per_response=True)
+    return ingest_envelope(spark, landing, "Rows", _schema(orders), multi_line=True)
+
+
+def q_envelope_nested(spark, sf_dir):
+    """Nested objects inside responses stay structs, then flatten to a.b names."""
+    customer = table(spark, sf_dir, "customer")
+    nested = customer.select(
+        "c_custkey",
+        F.struct(F.col("c_name").alias("name"), F.struct(F.col("c_nationkey").alias("key")).alias("nation")).alias("who"),
+        F.struct(F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment")).alias("account"),
+    )
+    landing = _land(nested, spark, "landing-nested", "Rows")
+    records = ingest_envelope(spark, landing, "Rows", _schema(nested), multi_line=False)
+    return flatten(records, sep="__")
+
+
 def q_json_flatten(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     nested = events.select("event_id", "user_id", F.from_json("props", "k bigint").alias("props"))
@@ -214,6 +236,22 @@ def q_merge_composite_key(spark, sf_dir):
     return read_table(spark, path, _schema(lineitem))
 
 
+def q_merge_composite_shuffled(spark, sf_dir):
+    """The large-source plan: no broadcast, target keys de-duplicated map-side."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "merge-shuffled")
+    write_table(lineitem.where(F.col("l_linenumber") <= 3), path)
+    merge_insert_only(
+        spark,
+        lineitem.where(F.col("l_linenumber") >= 3),
+        path,
+        ["l_orderkey", "l_linenumber"],
+        schema=_schema(lineitem),
+        broadcast_max_bytes=0,
+    )
+    return read_table(spark, path, _schema(lineitem))
+
+
 def q_merge_null_dup_keys(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     keyed = nation.select(F.nullif(F.col("n_regionkey"), F.lit(0)).alias("k"), "n_name", "n_regionkey")
@@ -279,6 +317,15 @@ def q_dedup_single(spark, sf_dir):
     return dedup_first(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"])
 
 
+def q_dedup_stored_order(spark, sf_dir):
+    """Keep-first without an explicit order: the row written first wins."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "stored-order")
+    write_table(orders, path, mode="append")
+    write_table(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, mode="append")
+    return dedup_first(read_table(spark, path, _schema(orders)), "o_orderkey")
+
+
 def q_dedup_composite(spark, sf_dir):
     return dedup_first(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
 
@@ -392,9 +439,26 @@ def q_silver_fact(spark, sf_dir):
 
 def _ordered(positions):
     # Keep the earliest report per vehicle (trip id breaks ties).
-    from dataclasses import replace
+    return dataclasses.replace(positions, dedup_order=("DateTime", "TripID"))
+
 
-    return replace(positions, dedup_order=("DateTime", "TripID"))
+LATER = dt.datetime(2025, 1, 2, 0, 2, 35)
+
+
+def q_fact_history(spark, sf_dir):
+    """Raw fact table kept in append mode: two captures, the refined layer
+    reads only the later one (partition pruning on the capture stamp)."""
+    _, positions = transit_feeds()
+    positions = _ordered(dataclasses.replace(positions, write_mode="append"))
+    lake = LakePaths(scratch_path(spark, "fact-history"))
+    events = table(spark, sf_dir, "events")
+    early = _land(position_records(events.where(F.col("event_type") == "view")), spark, "landing-positions", positions.data_field)
+    late = _land(position_records(events), spark, "landing-positions", positions.data_field)
+    bronze_fact(spark, positions, early, lake, CAPTURE, multi_line=False)
+    bronze_fact(spark, positions, late, lake, LATER, multi_line=False)
+    silver_fact(spark, dataclasses.replace(positions, write_mode="overwrite"), lake, LATER)
+    back = read_table(spark, lake.silver(positions.name), silver_fact_schema(positions))
+    return back.select("VehicleID", "DateTime", "TripID", "BlockNumber", "Deviation", "fecha_consulta", "hora_consulta")
 
 
 def q_full_run(spark, sf_dir):
@@ -444,6 +508,8 @@ def q_stream_merge(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_ingest": q_envelope_ingest,
+    "envelope_documents": q_envelope_documents,
+    "envelope_nested": q_envelope_nested,
     "json_flatten": q_json_flatten,
     "snapshot_read": q_snapshot_read,
     "write_overwrite": q_write_overwrite,
@@ -453,6 +519,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_write": q_partitioned_write,
     "merge_single_key": q_merge_single_key,
     "merge_composite_key": q_merge_composite_key,
+    "merge_composite_shuffled": q_merge_composite_shuffled,
     "merge_null_dup_keys": q_merge_null_dup_keys,
     "merge_create": q_merge_create,
     "select_cols": q_select_cols,
@@ -464,6 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cast_category": q_cast_category,
     "dedup_single": q_dedup_single,
     "dedup_composite": q_dedup_composite,
+    "dedup_stored_order": q_dedup_stored_order,
     "parse_list": q_parse_list,
     "explode_list": q_explode_list,
     "explode_empty": q_explode_empty,
@@ -475,6 +543,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_dim": q_silver_dim,
     "silver_child": q_silver_child,
     "silver_fact": q_silver_fact,
+    "fact_history": q_fact_history,
     "full_run": q_full_run,
     "stream_merge": q_stream_merge,
 }
@@ -483,6 +552,11 @@ _FIRST_POSITION = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts,
 
 ORACLE_SQL: dict[str, str] = {
     "envelope_ingest": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "envelope_documents": "SELECT * FROM orders",
+    "envelope_nested": (
+        "SELECT c_custkey, c_name AS who__name, c_nationkey AS who__nation__key, "
+        "c_acctbal AS account__balance, c_mktsegment AS account__segment FROM customer"
+    ),
     "json_flatten": "SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events",
     "snapshot_read": "SELECT * FROM supplier",
     "write_overwrite": "SELECT * FROM customer WHERE c_acctbal > 0",
@@ -505,6 +579,12 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS "
         "(SELECT 1 FROM t WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)"
     ),
+    "merge_composite_shuffled": (
+        "WITH t AS (SELECT * FROM lineitem WHERE l_linenumber <= 3), "
+        "s AS (SELECT * FROM lineitem WHERE l_linenumber >= 3) "
+        "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS "
+        "(SELECT 1 FROM t WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)"
+    ),
     "merge_null_dup_keys": (
         "WITH t AS (SELECT NULLIF(n_regionkey, 0) AS k, n_name FROM nation WHERE n_regionkey < 3), "
         "s AS (SELECT NULLIF(n_regionkey, 0) AS k, n_name FROM nation) "
@@ -523,9 +603,12 @@ ORACLE_SQL: dict[str, str] = {
     "cast_category": "SELECT event_id, event_type FROM events",
     "dedup_single": f"SELECT * FROM events {_FIRST_POSITION}",
     "dedup_composite": (
-        "SELECT * FROM lineitem QUALIFY row_number() OVER "
-        "(PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1"
+        "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY "
+        "l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, "
+        "l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, "
+        "l_shipdate NULLS FIRST) = 1"
     ),
+    "dedup_stored_order": "SELECT * FROM orders",
     "parse_list": (
         "SELECT p_partkey, CAST(len(string_split(p_name, ' ')) AS BIGINT) AS n_items, "
         "array_to_string(string_split(p_name, ' '), '|') AS items FROM part"
@@ -562,6 +645,11 @@ ORACLE_SQL: dict[str, str] = {
         "COALESCE(NULLIF(event_type, 'error'), 'Null') AS BlockNumber, value AS Deviation, "
         f"DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events {_FIRST_POSITION}"
     ),
+    "fact_history": (
+        "SELECT CAST(user_id AS SMALLINT) AS VehicleID, ts AS DateTime, CAST(event_id AS INTEGER) AS TripID, "
+        "COALESCE(NULLIF(event_type, 'error'), 'Null') AS BlockNumber, value AS Deviation, "
+        f"DATE '2025-01-02' AS fecha_consulta, '00:02:35' AS hora_consulta FROM events {_FIRST_POSITION}"
+    ),
     "full_run": (
         "SELECT 'bronze_stops' AS table_name, count(*) AS n_rows FROM part "
         "UNION ALL SELECT 'bronze_positions', count(*) FROM events "

@@ -63,12 +63,20 @@ def ingest_envelope(
     return raw.select(F.inline(_required_rows(data_field, record_schema)))
 
 
-def write_envelopes(df: DataFrame, path: str, data_field: str, rows_per_response: int = 1000) -> None:
-    """Land ``df`` as JSON-lines responses ``{data_field: [rows...]}``.
+def write_envelopes(
+    df: DataFrame,
+    path: str,
+    data_field: str,
+    rows_per_response: int = 1000,
+    file_per_response: bool = False,
+) -> None:
+    """Land ``df`` as responses ``{data_field: [rows...]}``.
 
     The landing side of an ingest: rows are packed into responses of at most
     ``rows_per_response`` consecutive rows of one input partition, so no
-    response (group) grows with the data.
+    response (group) grows with the data.  By default responses are written
+    as JSON lines; ``file_per_response=True`` writes each response as its own
+    file (one directory per response), as an API poller lands them.
     """
     if rows_per_response < 1:
         raise ValueError("rows_per_response must be positive")
@@ -78,6 +86,8 @@ def write_envelopes(df: DataFrame, path: str, data_field: str, rows_per_response
         df.select(chunk.alias("__response"), row.alias("__row"))
         .groupBy("__response")
         .agg(F.collect_list("__row").alias(data_field))
-        .select(data_field)
     )
-    packed.write.mode("errorifexists").json(path)
+    if file_per_response:
+        packed.write.mode("errorifexists").partitionBy("__response").json(path)
+    else:
+        packed.select(data_field).write.mode("errorifexists").json(path)
