@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,8 +66,14 @@ def incremental_merge(
     stream = landed_rows(spark, landing, data_field, record_schema, multi_line, max_files_per_trigger)
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
-        first = dedup_first(batch, keys, _ORDER).drop(*_ORDER)
-        merge_insert_only(batch.sparkSession, first, target, predicate, schema=record_schema, partition_cols=partition_cols)
+        # The merge runs two jobs over the batch (size check, then the write);
+        # keep the de-duplicated batch — bounded by max_files_per_trigger —
+        # instead of parsing its files twice.
+        first = dedup_first(batch, keys, _ORDER).drop(*_ORDER).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merge_insert_only(batch.sparkSession, first, target, predicate, schema=record_schema, partition_cols=partition_cols)
+        finally:
+            first.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(merge_batch)
