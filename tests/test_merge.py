@@ -111,3 +111,43 @@ def test_merge_twice_equals_once(spark, scratch, target, source, limit):
     assert table_rows(spark, p) == once
     expected = [(k, "t") for k in target] + ([(k, "s") for k in source if k not in set(target)] if target else [(k, "s") for k in source])
     assert once == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("hot_key", [7, None])
+def test_shuffled_merge_salts_a_hot_source_key(spark, scratch, capsys, hot_key):
+    from pyspark.sql import functions as F
+
+    from tierkit.operators.merge import new_rows
+
+    p = scratch("merge")
+    write_table(spark.range(0, 3000, 2).selectExpr("cast(id as int) as k", "'t' as v"), p)
+    tgt = read_table(spark, p, KV)
+    # a third of the source rows on one key (absent from the target), rest spread
+    hot = F.lit(hot_key).cast("int")
+    src = spark.range(3000).select(
+        F.when(F.col("id") < 1000, hot).otherwise(F.col("id").cast("int")).alias("k"),
+        F.col("id").cast("string").alias("v"),
+    )
+    out = new_rows(src, tgt, merge_keys(["k"]), broadcast_max_bytes=0)
+    got = sorted((r["k"], r["v"]) for r in out.collect() if r["k"] != hot_key)
+    expected = sorted((i, str(i)) for i in range(1000, 3000) if i % 2 == 1)
+    assert got == expected
+    assert sum(1 for r in out.collect() if r["k"] == hot_key) == 1000
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "__salt" in plan and "sequence(0" in plan
+
+
+def test_shuffled_merge_hot_key_present_in_target(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tierkit.operators.merge import new_rows
+
+    p = scratch("merge")
+    write_table(spark.createDataFrame([(7, "t"), (8, "t")], KV), p)
+    tgt = read_table(spark, p, KV)
+    src = spark.range(900).select(
+        F.when(F.col("id") < 600, F.lit(7)).otherwise(F.col("id")).cast("int").alias("k"), F.lit("s").alias("v")
+    )
+    out = new_rows(src, tgt, merge_keys(["k"]), broadcast_max_bytes=0)
+    assert sorted(r["k"] for r in out.collect()) == list(range(600, 900))

@@ -17,7 +17,8 @@ keys are semi-joined against the broadcast source keys, the hits (no more
 than the source keys) are de-duplicated and broadcast back into the anti
 join.  Otherwise the target keys are de-duplicated map-side (a key holding a
 third of the table collapses before the shuffle) and the anti join shuffles
-both sides, with AQE splitting a skewed source key.
+both sides; source keys heavier than an average task are salted over
+several tasks (see ``_salted_anti_join``).
 """
 
 from __future__ import annotations
@@ -136,14 +137,79 @@ def _all(conds: list[Column]) -> Column:
     return out
 
 
-def source_key_bytes(source: DataFrame, keys: Sequence[KeyPair]) -> int | None:
-    """Upper bound, in bytes, of the source's key columns (one scan, no
-    shuffle); ``None`` if a key type has no known width."""
+def source_key_stats(source: DataFrame, keys: Sequence[KeyPair]) -> tuple[int | None, int]:
+    """(bytes of the source's key columns, rows) in one scan, no shuffle.
+
+    The bytes are an upper bound on a broadcast of the keys; ``None`` if a
+    key type has no known width.
+    """
     widths = [_width(q(k.source), source.schema[k.source].dataType) for k in keys]
-    if any(w is None for w in widths):
-        return None
-    total = source.select(sum(widths).alias("w")).agg(F.coalesce(F.sum("w"), F.lit(0)).alias("b"))
-    return int(total.first()["b"])
+    known = all(w is not None for w in widths)
+    width = sum(widths) if known else F.lit(0)
+    row = source.select(width.alias("w")).agg(
+        F.coalesce(F.sum("w"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")
+    ).first()
+    return (int(row["b"]) if known else None), int(row["n"])
+
+
+def _shuffle_partitions(spark: SparkSession) -> int:
+    raw = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    return int(raw) if raw.isdigit() and int(raw) > 0 else 200
+
+
+def _hashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType) or dtype.typeName() == "variant":
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    return True
+
+
+def _salted_anti_join(
+    source: DataFrame, t_keys: DataFrame, keys: Sequence[KeyPair], total_rows: int, partitions: int
+) -> DataFrame:
+    """Shuffled anti join that splits hot source keys over several tasks.
+
+    A key is hot when it has more rows than an average task should hold
+    (``total_rows / partitions``); there are at most ``partitions`` such keys,
+    so the hot-key table is small by construction and is broadcast.  Rows of
+    a hot key get a salt in ``[0, n)`` with ``n = ceil(rows / limit)``, derived
+    from the row's content and input partition (the same on a retried task);
+    the target keys of hot keys are repeated once per salt *before* their
+    map-side de-duplication, so the one target shuffle lines up with the join.
+    """
+    limit = max(1, total_rows // partitions)
+    hot = (
+        source.groupBy(*[q(k.source).alias(f"__h{i}") for i, k in enumerate(keys)])
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > limit)
+        .select(*[f"__h{i}" for i in range(len(keys))], F.ceil(F.col("__n") / limit).cast("int").alias("__salts"))
+    )
+    hot_b = F.broadcast(hot)
+    is_hot_src = _all([source[_ref(k.source)].eqNullSafe(hot_b[f"__h{i}"]) for i, k in enumerate(keys)])
+    content = [F.spark_partition_id()] + [q(f.name) for f in source.schema.fields if _hashable(f.dataType)]
+    salted = (
+        source.join(hot_b, is_hot_src, "left_outer")
+        .withColumn(
+            "__salt",
+            F.when(F.col("__salts").isNull(), F.lit(0))
+            .otherwise(F.pmod(F.xxhash64(*content), F.col("__salts").cast("bigint")))
+            .cast("int"),
+        )
+        .drop(*[f"__h{i}" for i in range(len(keys))], "__salts")
+    )
+    is_hot_tgt = _all([t_keys[f"__t{i}"].eqNullSafe(hot_b[f"__h{i}"]) for i in range(len(keys))])
+    salts = F.when(F.col("__salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("__salts") - 1))
+    t_salted = (
+        t_keys.join(hot_b, is_hot_tgt, "left_outer")
+        .select(*[f"__t{i}" for i in range(len(keys))], F.explode(salts).alias("__tsalt"))
+        .distinct()
+    )
+    on = _all([_eq(salted[_ref(k.source)], t_salted[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
+    on = on & (salted["__salt"] == t_salted["__tsalt"])
+    return salted.join(t_salted, on, "left_anti").drop("__salt")
 
 
 def new_rows(
@@ -153,23 +219,21 @@ def new_rows(
     broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of ``source`` that no ``target`` row matches on ``keys``."""
-    limit = _broadcast_limit(source.sparkSession) if broadcast_max_bytes is None else broadcast_max_bytes
+    spark = source.sparkSession
+    limit = _broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     t_keys = target.select(*[q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)])
-
-    if limit > 0:
-        n_bytes = source_key_bytes(source, keys)
-        if n_bytes is not None and n_bytes <= limit:
-            # Broadcast the (measured) source keys; the target is only scanned.
-            s_keys = source.select(*[q(k.source).alias(f"__s{i}") for i, k in enumerate(keys)])
-            semi = _all([_eq(F.col(f"__t{i}"), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
-            # Target keys that occur in the source: no more than the source keys.
-            hits = t_keys.join(F.broadcast(s_keys), semi, "left_semi").distinct()
-            anti = _all([_eq(source[_ref(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-            return source.join(F.broadcast(hits), anti, "left_anti")
-
-    t_distinct = t_keys.distinct()
-    anti = _all([_eq(source[_ref(k.source)], t_distinct[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-    return source.join(t_distinct, anti, "left_anti")
+    n_bytes, n_rows = source_key_stats(source, keys)
+
+    if limit > 0 and n_bytes is not None and n_bytes <= limit:
+        # Broadcast the (measured) source keys; the target is only scanned.
+        s_keys = source.select(*[q(k.source).alias(f"__s{i}") for i, k in enumerate(keys)])
+        semi = _all([_eq(F.col(f"__t{i}"), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
+        # Target keys that occur in the source: no more than the source keys.
+        hits = t_keys.join(F.broadcast(s_keys), semi, "left_semi").distinct()
+        anti = _all([_eq(source[_ref(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
+        return source.join(F.broadcast(hits), anti, "left_anti")
+
+    return _salted_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark))
 
 
 def _check_schema(source: DataFrame, target_schema: T.StructType) -> DataFrame:
