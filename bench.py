@@ -15,11 +15,15 @@ import time
 
 HEADLINE = [
     "envelope_ingest",
+    "envelope_documents",
     "partitioned_write",
     "merge_single_key",
     "merge_composite_key",
+    "merge_composite_shuffled",
+    "merge_hot_key",
     "dedup_single",
     "dedup_composite",
+    "dedup_stored_order",
     "explode_list",
     "explode_chain",
     "parse_list",
@@ -29,6 +33,7 @@ HEADLINE = [
     "silver_dim",
     "silver_child",
     "silver_fact",
+    "fact_history",
     "full_run",
     "stream_merge",
 ]

@@ -252,6 +252,18 @@ def q_merge_composite_shuffled(spark, sf_dir):
     return read_table(spark, path, _schema(lineitem))
 
 
+def q_merge_hot_key(spark, sf_dir):
+    """Shuffled merge where one source key holds half of the rows (all open
+    line items share key -1): the hot key is salted over several tasks."""
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "merge-hot")
+    write_table(orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v")), path)
+    hot = F.when(F.col("l_linestatus") == "O", F.lit(-1).cast("bigint")).otherwise(F.col("l_orderkey"))
+    source = lineitem.select(hot.alias("k"), F.col("l_returnflag").alias("v"))
+    merge_insert_only(spark, source, path, "target.k = source.k", broadcast_max_bytes=0)
+    return read_table(spark, path, "k bigint, v string")
+
+
 def q_merge_null_dup_keys(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     keyed = nation.select(F.nullif(F.col("n_regionkey"), F.lit(0)).alias("k"), "n_name", "n_regionkey")
@@ -520,6 +532,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_single_key": q_merge_single_key,
     "merge_composite_key": q_merge_composite_key,
     "merge_composite_shuffled": q_merge_composite_shuffled,
+    "merge_hot_key": q_merge_hot_key,
     "merge_null_dup_keys": q_merge_null_dup_keys,
     "merge_create": q_merge_create,
     "select_cols": q_select_cols,
@@ -585,6 +598,12 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS "
         "(SELECT 1 FROM t WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)"
     ),
+    "merge_hot_key": (
+        "WITH t AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderstatus = 'F'), "
+        "s AS (SELECT CASE WHEN l_linestatus = 'O' THEN -1 ELSE l_orderkey END AS k, l_returnflag AS v "
+        "FROM lineitem) "
+        "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.k = s.k)"
+    ),
     "merge_null_dup_keys": (
         "WITH t AS (SELECT NULLIF(n_regionkey, 0) AS k, n_name FROM nation WHERE n_regionkey < 3), "
         "s AS (SELECT NULLIF(n_regionkey, 0) AS k, n_name FROM nation) "
