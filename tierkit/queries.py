@@ -178,7 +178,7 @@ def q_write_append(spark, sf_dir):
 def q_write_ignore(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     path = scratch_path(spark, "ignore")
-    write_table(nation.where(F.col("n_regionkey") < 2), path, mode="error")
+    write_table(nation.withColumn("n_name", F.upper("n_name")), path, mode="error")
     write_table(nation, path, mode="ignore")
     return read_table(spark, path, _schema(nation))
 
@@ -186,7 +186,7 @@ def q_write_ignore(spark, sf_dir):
 def q_write_error(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     path = scratch_path(spark, "error")
-    write_table(nation.where(F.col("n_regionkey") < 2), path, mode="error")
+    write_table(nation.withColumn("n_name", F.upper("n_name")), path, mode="error")
     try:
         write_table(nation, path, mode="error")
     except AnalysisException:
@@ -276,7 +276,7 @@ def q_merge_null_dup_keys(spark, sf_dir):
 def q_merge_create(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     path = scratch_path(spark, "merge-create")
-    merge_insert_only(spark, part.where(F.col("p_size") > 25), path, "target.p_partkey = source.p_partkey")
+    merge_insert_only(spark, part, path, "target.p_partkey = source.p_partkey")
     return read_table(spark, path, _schema(part))
 
 
@@ -574,8 +574,8 @@ ORACLE_SQL: dict[str, str] = {
     "snapshot_read": "SELECT * FROM supplier",
     "write_overwrite": "SELECT * FROM customer WHERE c_acctbal > 0",
     "write_append": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
-    "write_ignore": "SELECT * FROM nation WHERE n_regionkey < 2",
-    "write_error": "SELECT * FROM nation WHERE n_regionkey < 2",
+    "write_ignore": "SELECT n_nationkey, upper(n_name) AS n_name, n_regionkey FROM nation",
+    "write_error": "SELECT n_nationkey, upper(n_name) AS n_name, n_regionkey FROM nation",
     "partitioned_write": (
         "SELECT event_id, CAST(ts AS DATE) AS fecha_consulta, strftime(ts, '%H:00:00') AS hora_consulta "
         "FROM events WHERE strftime(ts, '%H:00:00') = '23:00:00'"
@@ -609,7 +609,7 @@ ORACLE_SQL: dict[str, str] = {
         "s AS (SELECT NULLIF(n_regionkey, 0) AS k, n_name FROM nation) "
         "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.k = s.k)"
     ),
-    "merge_create": "SELECT * FROM part WHERE p_size > 25",
+    "merge_create": "SELECT * FROM part",
     "select_cols": "SELECT s_suppkey, s_name FROM supplier",
     "drop_cols": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
     "rename_cols": "SELECT s_suppkey, s_name AS stop_name, s_nationkey, s_acctbal FROM supplier",
