@@ -41,7 +41,7 @@ from tierkit.plans.jobs import (
 )
 from tierkit.session import scratch_path
 from tierkit.sources import ingest_envelope, read_table, write_envelopes, write_table
-from tierkit.streaming import incremental_merge
+from tierkit.streaming import incremental_append, incremental_merge
 
 # Declared schemas of the driver's tables (never inferred).
 TABLES = {
@@ -518,6 +518,27 @@ def q_stream_merge(spark, sf_dir):
     return read_table(spark, target, schema)
 
 
+def q_stream_fact(spark, sf_dir):
+    """Fact feed landed in two waves, appended by the file-sink stream; each
+    run stamps its own capture, and a run with nothing new adds nothing."""
+    _, positions = transit_feeds()
+    events = table(spark, sf_dir, "events")
+    landing = scratch_path(spark, "stream-fact-landing")
+    target = scratch_path(spark, "stream-fact-target")
+    ckpt = scratch_path(spark, "stream-fact-checkpoint")
+
+    def run(capture):
+        incremental_append(spark, landing, positions.data_field, positions.record_schema, target, ckpt, capture, multi_line=False)
+
+    write_envelopes(position_records(events.where(F.col("event_type") == "view")), f"{landing}/wave=1", positions.data_field)
+    run(CAPTURE)
+    write_envelopes(position_records(events.where(F.col("event_type") != "view")), f"{landing}/wave=2", positions.data_field)
+    run(LATER)
+    run(dt.datetime(2025, 1, 2, 0, 30, 0))
+    back = read_table(spark, target, bronze_fact_schema(positions))
+    return back.select("VehicleID", "TripID", "BlockNumber", "fecha_consulta", "hora_consulta")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_ingest": q_envelope_ingest,
     "envelope_documents": q_envelope_documents,
@@ -559,6 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_history": q_fact_history,
     "full_run": q_full_run,
     "stream_merge": q_stream_merge,
+    "stream_fact": q_stream_fact,
 }
 
 _FIRST_POSITION = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1"
@@ -677,4 +699,10 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'silver_stops_Routes', count(*) FROM (SELECT unnest(string_split(p_name, ' ')) FROM part)"
     ),
     "stream_merge": "SELECT * FROM nation",
+    "stream_fact": (
+        "SELECT CAST(user_id AS VARCHAR) AS VehicleID, CAST(event_id AS VARCHAR) AS TripID, "
+        "NULLIF(event_type, 'error') AS BlockNumber, "
+        "CASE WHEN event_type = 'view' THEN DATE '2025-01-01' ELSE DATE '2025-01-02' END AS fecha_consulta, "
+        "CASE WHEN event_type = 'view' THEN '23:32:35' ELSE '00:02:35' END AS hora_consulta FROM events"
+    ),
 }

@@ -1,5 +1,5 @@
 """Incremental ingest of newly landed response files (Structured Streaming)."""
 
-from tierkit.streaming.incremental import incremental_merge
+from tierkit.streaming.incremental import incremental_append, incremental_merge
 
-__all__ = ["incremental_merge"]
+__all__ = ["incremental_append", "incremental_merge"]

@@ -1,15 +1,23 @@
-"""Incremental ingest: each landed response file is merged exactly once.
+"""Incremental ingest of landed response files (Structured Streaming).
 
 A file-source stream over the landing directory remembers (in its
-checkpoint) which files it has seen.  Each micro-batch keeps the first row
-per key — in landing order: file write time, file, position in the response
-— and insert-only merges the batch into the target.  ``foreachBatch`` is
-at-least-once; a replayed batch is harmless because the merge on non-null
-keys inserts nothing twice.
+checkpoint) which files it has seen, so each run with the ``availableNow``
+trigger takes exactly the files landed since the previous run.
+
+* ``incremental_merge`` (dimension feeds): each micro-batch keeps the first
+  row per key — in landing order: file write time, file, position in the
+  response — and insert-only merges it into the target.  ``foreachBatch`` is
+  at-least-once; a replayed batch is harmless because the merge on non-null
+  keys inserts nothing twice.
+* ``incremental_append`` (fact feeds): rows are stamped with the run's
+  capture and appended, partitioned, through the Parquet file sink, whose
+  metadata log commits every file exactly once.  That table is written by
+  the stream only; batch readers see committed files only.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -19,6 +27,7 @@ from pyspark.sql import types as T
 
 from tierkit.operators.clean import dedup_first
 from tierkit.operators.merge import merge_insert_only, merge_keys
+from tierkit.operators.stamp import DATE_COL, TIME_COL, stamp_capture
 from tierkit.sources.envelope import _required_rows, read_envelopes
 
 _ORDER = ["__landed", "__file", "__pos"]
@@ -84,3 +93,33 @@ def incremental_merge(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def incremental_append(
+    spark: SparkSession,
+    landing: str,
+    data_field: str,
+    record_schema: T.StructType,
+    target: str,
+    checkpoint: str,
+    capture_ts: dt.datetime | str | None = None,
+    partition_cols: Sequence[str] = (DATE_COL, TIME_COL),
+    multi_line: bool = True,
+    max_files_per_trigger: int | None = None,
+) -> None:
+    """Append every response landed since the last run, stamped with this
+    run's capture (``capture_ts``, default: now) and partitioned by it."""
+    ts = dt.datetime.now().replace(microsecond=0) if capture_ts is None else capture_ts
+    options = {} if max_files_per_trigger is None else {"maxFilesPerTrigger": str(max_files_per_trigger)}
+    raw = read_envelopes(spark, landing, data_field, record_schema, multi_line=multi_line, stream=True, **options)
+    rows = stamp_capture(raw.select(F.inline(_required_rows(data_field, record_schema))), ts)
+    query = (
+        rows.writeStream.format("parquet")
+        .partitionBy(*partition_cols)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(target)
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
