@@ -99,3 +99,16 @@ def test_capture_stamp_column(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 5, 6, 1, 2, 3),)], "ts timestamp_ntz")
     row = df.select(capture_date(F.col("ts")).alias("d"), capture_time(F.col("ts")).alias("t")).first()
     assert row["d"] == dt.date(2024, 5, 6) and row["t"] == "01:02:03"
+
+
+def test_strict_cast_raises_with_ansi_off(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="bad value"):
+            one(spark, strict_cast(F.lit("300"), "int8"))
+        with pytest.raises(Exception, match="bad value"):
+            one(spark, strict_cast(F.lit(300).cast("bigint"), "tinyint"))
+        assert one(spark, strict_cast(F.lit("12"), "int16")) == 12
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
