@@ -112,3 +112,13 @@ def test_strict_cast_raises_with_ansi_off(spark):
         assert one(spark, strict_cast(F.lit("12"), "int16")) == 12
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_strict_cast_auto_nulls_by_target_type(spark):
+    null = F.lit(None).cast("string")
+    assert one(spark, strict_cast(null, "timestamp_ntz")) is None
+    assert one(spark, strict_cast(null, "category")) is None
+    with pytest.raises(Exception, match="null value"):
+        one(spark, strict_cast(null, "int16"))
+    with pytest.raises(Exception, match="null value"):
+        one(spark, strict_cast(null, "string", nulls="fail"))

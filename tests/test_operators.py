@@ -207,3 +207,20 @@ def test_dedup_ties_broken_by_remaining_columns(spark):
 def test_dedup_skips_unorderable_tiebreakers(spark):
     df = spark.createDataFrame([(1, 1, {"x": 1}), (1, 0, {"y": 2})], "k int, o int, m map<string,int>")
     assert [r["m"] for r in dedup_first(df, "k", "o").collect()] == [{"y": 2}]
+
+
+def test_dedup_stored_order_needs_file_table(spark):
+    with pytest.raises(ValueError, match="order_by"):
+        dedup_first(spark.range(3), "id")
+
+
+def test_impute_strict_with_ansi_off(spark):
+    df = spark.createDataFrame([(None,)], "n int")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            impute(df, {"n": "Null"}).collect()
+        assert impute(df, {"n": 0}).first()["n"] == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

@@ -22,18 +22,19 @@ def impute(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
     The fill value is cast strictly to the column's type, so a text fill for a
     numeric column fails at planning instead of being skipped.
     """
-    types = dict(df.dtypes)
-    present = {c: v for c, v in mapping.items() if c in types}
+    present = {c: v for c, v in mapping.items() if c in df.columns and v is not None}
     if not present:
         return df
-    return df.withColumns({c: F.coalesce(q(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in present.items()})
+    fills = {c: strict_cast(F.lit(v), df.schema[c].dataType, nulls="keep", label=f"fill value for {c}") for c, v in present.items()}
+    return df.withColumns({c: F.coalesce(q(c), fill) for c, fill in fills.items()})
 
 
-def cast_columns(df: DataFrame, mapping: Mapping[str, str], nulls: str = "fail") -> DataFrame:
+def cast_columns(df: DataFrame, mapping: Mapping[str, str], nulls: str = "auto") -> DataFrame:
     """Cast columns by map (Spark or pandas type names) with strict errors.
 
-    Overflow, bad text, zoned timestamps — and nulls unless ``nulls="keep"`` —
-    raise.  A column named in the map but absent raises.
+    Overflow, bad text and zoned timestamps raise; nulls raise for integer
+    targets (``nulls="auto"``, see ``strict_cast``).  A column named in the
+    map but absent raises.
     """
     require(df, list(mapping))
     return df.withColumns({c: strict_cast(q(c), t, nulls=nulls, label=c) for c, t in mapping.items()})
@@ -79,6 +80,11 @@ def dedup_first(
     """
     keys = as_list(subset)
     require(df, keys, "key columns")
+    if order_by is None:
+        try:
+            df.select(*[F.col(c) for c in FILE_ORDER]).schema
+        except Exception as err:
+            raise ValueError("dedup_first without order_by needs a file table (stored order); pass order_by") from err
     window = Window.partitionBy(*[q(k) for k in keys]).orderBy(*_order_cols(df, keys, order_by))
     rank = "__first_rank"
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)
