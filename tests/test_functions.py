@@ -122,3 +122,15 @@ def test_strict_cast_auto_nulls_by_target_type(spark):
         one(spark, strict_cast(null, "int16"))
     with pytest.raises(Exception, match="null value"):
         one(spark, strict_cast(null, "string", nulls="fail"))
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("[', None]', None]", [", None]", None]),
+        ('["a, None", None, \'b\']', ["a, None", None, "b"]),
+        ("['\\\\x41', '\\x41']", ["\\x41", "A"]),
+    ],
+)
+def test_list_literal_quotes_are_opaque(spark, text, expected):
+    assert one(spark, list_literal(F.lit(text))) == expected

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A Python ``None`` item written between list delimiters.
-_NONE_ITEM = r"(?<=[\[,])(\s*)None(?=\s*[,\]])"
+# A Python ``None`` item at a list delimiter, outside any quoted string: each
+# match continues where the previous one ended (\G) and steps over whole
+# quoted strings, so text inside quotes is never rewritten.
+_NONE_ITEM = r"""\G((?:[^'"]|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")*?[\[,]\s*)None(?=\s*[,\]])"""
+# A Python ``\xHH`` escape (after an even run of backslashes); JSON spells it ``\u00HH``.
+_HEX_ESCAPE = r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})"
 
 _PARSE_OPTIONS = {
     "mode": "FAILFAST",
@@ -22,5 +26,5 @@ def list_literal(c: Column | str) -> Column:
     literal raises (FAILFAST) instead of becoming null.
     """
     src = F.col(c) if isinstance(c, str) else c
-    as_json = F.regexp_replace(src, _NONE_ITEM, "$1null")
+    as_json = F.regexp_replace(F.regexp_replace(src, _NONE_ITEM, "$1null"), _HEX_ESCAPE, "$1\\\\u00$2")
     return F.from_json(as_json, "array<string>", _PARSE_OPTIONS)
