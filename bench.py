@@ -36,6 +36,7 @@ HEADLINE = [
     "fact_history",
     "full_run",
     "stream_merge",
+    "stream_fact",
 ]
 
 

@@ -73,6 +73,10 @@ def _as_list(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _aqe_on(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").strip().lower() == "true"
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -101,7 +105,10 @@ def write_table(
         raise KeyError(f"partition columns not in the data: {missing}")
     if mode == "overwrite" and reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
-    if parts and rebalance:
+    if parts and rebalance and _aqe_on(df):
+        # Without AQE a rebalance is a plain hash repartition on the partition
+        # columns, which would put one capture in one task: keep the input's
+        # partitioning instead.
         df = df.hint("rebalance", *parts)
     writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
     if parts:
