@@ -156,3 +156,15 @@ def test_full_run(spark, scratch):
     assert set(tables) == {"bronze_stops", "bronze_positions", "silver_stops", "silver_positions", "silver_stops_Routes"}
     assert read_table(spark, tables["silver_stops_Routes"], silver_child_schema(stops)).count() == 3
     assert read_table(spark, tables["silver_positions"], silver_fact_schema(positions)).count() == 2
+
+
+def test_silver_dimension_releases_its_cache(spark, scratch):
+    stops, _ = transit_feeds()
+    lake = LakePaths(scratch("lake"))
+    bronze_dimension(spark, stops, land(scratch, "Stops", [stop("1", "A", ["R"])]), lake)
+    spark.catalog.clearCache()
+    silver_dimension(spark, stops, lake)
+    raw = read_table(spark, lake.bronze("stops"), bronze_dimension_schema(stops))
+    # nothing stays cached after the job
+    assert not raw.storageLevel.useMemory
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
