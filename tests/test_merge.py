@@ -151,3 +151,24 @@ def test_shuffled_merge_hot_key_present_in_target(spark, scratch):
     )
     out = new_rows(src, tgt, merge_keys(["k"]), broadcast_max_bytes=0)
     assert sorted(r["k"] for r in out.collect()) == list(range(600, 900))
+
+
+def test_noop_merge_adds_no_files(spark, scratch):
+    import glob
+
+    p = scratch("merge")
+    src = spark.range(100).selectExpr("cast(id as int) as k", "cast(id as string) as v")
+    merge_insert_only(spark, src, p, ["k"])
+    files = lambda: len(glob.glob(p.replace("file:", "") + "/*.parquet"))
+    before = files()
+    merge_insert_only(spark, src, p, ["k"])
+    merge_insert_only(spark, src, p, ["k"])
+    assert files() == before
+    merge_insert_only(spark, spark.createDataFrame([(500, "new")], KV), p, ["k"])
+    assert files() > before and read_table(spark, p, KV).count() == 101
+
+
+def test_create_checks_declared_schema(spark, scratch):
+    with pytest.raises(ValueError, match="types differ"):
+        merge_insert_only(spark, spark.createDataFrame([(1, 2)], "k int, v int"), scratch("m"), ["k"],
+                          schema=spark.createDataFrame([], KV).schema)

@@ -27,6 +27,7 @@ import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -212,13 +213,15 @@ def _salted_anti_join(
     return salted.join(t_salted, on, "left_anti").drop("__salt")
 
 
-def new_rows(
+def _plan_new_rows(
     source: DataFrame,
     target: DataFrame,
     keys: Sequence[KeyPair],
-    broadcast_max_bytes: int | None = None,
-) -> DataFrame:
-    """Rows of ``source`` that no ``target`` row matches on ``keys``."""
+    broadcast_max_bytes: int | None,
+    keep_hits: bool,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The anti-join plan, plus (broadcast path, ``keep_hits``) the small
+    persisted frame of matched target keys the caller must unpersist."""
     spark = source.sparkSession
     limit = _broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     t_keys = target.select(*[q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)])
@@ -230,10 +233,22 @@ def new_rows(
         semi = _all([_eq(F.col(f"__t{i}"), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
         # Target keys that occur in the source: no more than the source keys.
         hits = t_keys.join(F.broadcast(s_keys), semi, "left_semi").distinct()
+        if keep_hits:
+            hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
         anti = _all([_eq(source[_ref(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-        return source.join(F.broadcast(hits), anti, "left_anti")
+        return source.join(F.broadcast(hits), anti, "left_anti"), (hits if keep_hits else None)
 
-    return _salted_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark))
+    return _salted_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark)), None
+
+
+def new_rows(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[KeyPair],
+    broadcast_max_bytes: int | None = None,
+) -> DataFrame:
+    """Rows of ``source`` that no ``target`` row matches on ``keys``."""
+    return _plan_new_rows(source, target, keys, broadcast_max_bytes, keep_hits=False)[0]
 
 
 def _check_schema(source: DataFrame, target_schema: T.StructType) -> DataFrame:
@@ -279,11 +294,21 @@ def merge_insert_only(
     try:
         target = read_table(spark, path, table_schema)
     except TableNotFound:
-        write_table(new_df, path, mode="errorifexists", partition_cols=partition_cols)
+        created = _check_schema(new_df, table_schema) if schema is not None else new_df
+        write_table(created, path, mode="errorifexists", partition_cols=partition_cols)
         return
     missing = [k.target for k in keys if k.target not in target.columns]
     if missing:
         raise KeyError(f"merge keys not in the target: {missing}")
     source = _check_schema(new_df, target.schema)
-    inserts = new_rows(source, target, keys, broadcast_max_bytes)
-    write_table(inserts, path, mode="append", partition_cols=partition_cols)
+    inserts, hits = _plan_new_rows(source, target, keys, broadcast_max_bytes, keep_hits=True)
+    try:
+        # Broadcast path: with the matched keys kept, an empty insert set is
+        # found by a scan of the source alone — skip the write, which would
+        # otherwise add an empty file on every run with nothing new.
+        if hits is not None and inserts.isEmpty():
+            return
+        write_table(inserts, path, mode="append", partition_cols=partition_cols)
+    finally:
+        if hits is not None:
+            hits.unpersist()
