@@ -32,6 +32,10 @@ from tierkit.sources.envelope import _required_rows, read_envelopes
 
 _ORDER = ["__landed", "__file", "__pos"]
 
+# A backlog is drained in batches of at most this many landed files, so a
+# micro-batch (which the merge keeps in memory/disk) stays bounded.
+MAX_FILES_PER_TRIGGER = 1000
+
 
 def landed_rows(
     spark: SparkSession,
@@ -105,7 +109,7 @@ def incremental_append(
     capture_ts: dt.datetime | str | None = None,
     partition_cols: Sequence[str] = (DATE_COL, TIME_COL),
     multi_line: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> None:
     """Append every response landed since the last run, stamped with this
     run's capture (``capture_ts``, default: now) and partitioned by it."""
