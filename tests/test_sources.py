@@ -51,8 +51,9 @@ def test_ingest_missing_field_names_the_file(spark, scratch):
 def test_ingest_not_json_raises(spark, scratch):
     d = scratch("landing")
     write_text(d, "html.json", "<html>503 Service Unavailable</html>")
-    with pytest.raises(Exception):
-        ingest_envelope(spark, d, "Stops", schema(spark, RECORD)).collect()
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="html.json"):
+            ingest_envelope(spark, d, "Stops", schema(spark, RECORD), multi_line=multi_line).collect()
 
 
 def test_write_envelopes_round_trip(spark, scratch):
