@@ -168,3 +168,17 @@ def test_silver_dimension_releases_its_cache(spark, scratch):
     # nothing stays cached after the job
     assert not raw.storageLevel.useMemory
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_silver_dimension_refines_only_new_keys(spark, scratch, capsys):
+    stops, _ = transit_feeds()
+    lake = LakePaths(scratch("lake"))
+    bronze_dimension(spark, stops, land(scratch, "Stops", [stop("1", "A", ["R1"])]), lake)
+    silver_dimension(spark, stops, lake)
+    later = [stop("2", "B", ["R2"]), stop("2", "B-dup", ["R9"]), stop("01", "X", ["R8"])]
+    bronze_dimension(spark, stops, land(scratch, "Stops", later), lake)
+    silver_dimension(spark, stops, lake)
+    silver = read_table(spark, lake.silver("stops"), silver_dimension_schema(stops))
+    assert rows(silver, "StopID", "Stop_Name") == [(1, "A"), (2, "B")]
+    child = read_table(spark, lake.silver_child("stops", "Routes"), silver_child_schema(stops))
+    assert rows(child, "StopID", "Routes") == [(1, "R1"), (2, "R2")]
