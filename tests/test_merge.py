@@ -172,3 +172,22 @@ def test_create_checks_declared_schema(spark, scratch):
     with pytest.raises(ValueError, match="types differ"):
         merge_insert_only(spark, spark.createDataFrame([(1, 2)], "k int, v int"), scratch("m"), ["k"],
                           schema=spark.createDataFrame([], KV).schema)
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_merge_reads_only_target_keys(spark, scratch, capsys, limit):
+    import re
+
+    from tierkit.operators.merge import new_rows
+
+    p = scratch("merge")
+    write_table(spark.range(50).selectExpr("cast(id as int) as k", "cast(id as string) as v", "id * 2 as w"), p)
+    tgt = read_table(spark, p, "k int, v string, w bigint")
+    src = spark.createDataFrame([(1, "s", 0), (99, "s", 0)], "k int, v string, w bigint")
+    new_rows(src, tgt, merge_keys(["k"]), broadcast_max_bytes=limit).explain()
+    plan = capsys.readouterr().out
+    # the source is a local table: every file scan in the plan reads the target
+    target_scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+    assert target_scans, plan
+    for ln in target_scans:
+        assert re.search(r"ReadSchema: struct<k:int>", ln), ln
