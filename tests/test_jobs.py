@@ -182,3 +182,18 @@ def test_silver_dimension_refines_only_new_keys(spark, scratch, capsys):
     assert rows(silver, "StopID", "Stop_Name") == [(1, "A"), (2, "B")]
     child = read_table(spark, lake.silver_child("stops", "Routes"), silver_child_schema(stops))
     assert rows(child, "StopID", "Routes") == [(1, "R1"), (2, "R2")]
+
+
+def test_command_line_runs_both_layers(spark, scratch):
+    from tierkit.__main__ import main
+
+    stops_landing = land(scratch, "Stops", [stop("1", "A", ["R1"])])
+    pos_landing = land(scratch, "BusPositions", [position("5", "2025-01-01T21:00:00")])
+    root = scratch("lake")
+    assert main(["all", "--lake", root, "--stops", stops_landing, "--positions", pos_landing,
+                 "--capture-ts", "2025-01-01T23:32:35"]) == 0
+    stops, positions = transit_feeds()
+    lake = LakePaths(root)
+    assert read_table(spark, lake.silver("stops"), silver_dimension_schema(stops)).count() == 1
+    assert read_table(spark, lake.silver("positions"), silver_fact_schema(positions)).count() == 1
+    assert main(["silver", "--lake", root]) == 0
