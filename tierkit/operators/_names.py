@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quote(name: str) -> str:
+    """A column name as an exact reference (names may contain dots)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def q(name: str) -> Column:
     """Column by exact name (names may contain dots, e.g. after ``flatten``)."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quote(name))
 
 
 def as_list(cols: str | Sequence[str] | None) -> list[str]:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierkit.operators._names import q
+from tierkit.operators._names import q, quote
 from tierkit.sources.tables import TableNotFound, read_table, write_table
 
 # The aliases a merge predicate uses for the two sides.
@@ -88,10 +88,6 @@ def merge_keys(predicate: str | Sequence[str] | Sequence[tuple[str, str]]) -> li
     return pairs
 
 
-def _ref(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _eq(left: Column, right: Column, null_safe: bool) -> Column:
     return left.eqNullSafe(right) if null_safe else left == right
 
@@ -121,7 +117,8 @@ def _width(c: Column, dtype: T.DataType) -> Column | None:
     return None
 
 
-def _broadcast_limit(spark: SparkSession) -> int:
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast bound in bytes (``spark.sql.autoBroadcastJoinThreshold``)."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     raw = raw.strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
@@ -189,7 +186,7 @@ def _salted_anti_join(
         .select(*[f"__h{i}" for i in range(len(keys))], F.ceil(F.col("__n") / limit).cast("int").alias("__salts"))
     )
     hot_b = F.broadcast(hot)
-    is_hot_src = _all([source[_ref(k.source)].eqNullSafe(hot_b[f"__h{i}"]) for i, k in enumerate(keys)])
+    is_hot_src = _all([source[quote(k.source)].eqNullSafe(hot_b[f"__h{i}"]) for i, k in enumerate(keys)])
     content = [F.spark_partition_id()] + [q(f.name) for f in source.schema.fields if _hashable(f.dataType)]
     salted = (
         source.join(hot_b, is_hot_src, "left_outer")
@@ -208,7 +205,7 @@ def _salted_anti_join(
         .select(*[f"__t{i}" for i in range(len(keys))], F.explode(salts).alias("__tsalt"))
         .distinct()
     )
-    on = _all([_eq(salted[_ref(k.source)], t_salted[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
+    on = _all([_eq(salted[quote(k.source)], t_salted[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
     on = on & (salted["__salt"] == t_salted["__tsalt"])
     return salted.join(t_salted, on, "left_anti").drop("__salt")
 
@@ -223,7 +220,7 @@ def _plan_new_rows(
     """The anti-join plan, plus (broadcast path, ``keep_hits``) the small
     persisted frame of matched target keys the caller must unpersist."""
     spark = source.sparkSession
-    limit = _broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
+    limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     t_keys = target.select(*[q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)])
     n_bytes, n_rows = source_key_stats(source, keys)
 
@@ -235,7 +232,7 @@ def _plan_new_rows(
         hits = t_keys.join(F.broadcast(s_keys), semi, "left_semi").distinct()
         if keep_hits:
             hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
-        anti = _all([_eq(source[_ref(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
+        anti = _all([_eq(source[quote(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
         return source.join(F.broadcast(hits), anti, "left_anti"), (hits if keep_hits else None)
 
     return _salted_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark)), None
