@@ -117,3 +117,14 @@ def test_partitioned_write_escapes_time_and_prunes(spark, scratch, capsys):
 def test_partitioned_write_requires_columns(spark, scratch):
     with pytest.raises(KeyError):
         write_table(spark.range(3), scratch("p"), partition_cols="nope")
+
+
+def test_under_matches_absolute_and_relative_targets():
+    from tierkit.sources.tables import _under
+
+    f = "file:///data/lake/silver/stops/part-0.parquet"
+    assert _under(f, "/data/lake/silver/stops")
+    assert _under(f, "file:/data/lake/silver/stops/")
+    assert not _under(f, "/data/lake/silver/stop")
+    assert _under(f, "lake/silver/stops")
+    assert not _under(f, "silver/stop")

@@ -61,10 +61,19 @@ def _norm(path: str) -> str:
     return p.rstrip("/")
 
 
+def _under(file: str, path: str) -> bool:
+    target = _norm(path)
+    f = _norm(file)
+    if re.match(r"^[A-Za-z][\w+.-]*:", path) or path.startswith("/"):
+        return f.startswith(target + "/")
+    # A relative path resolves against a working directory we cannot see:
+    # match it as whole trailing path segments (errs towards refusing).
+    return ("/" + target.strip("/") + "/") in f
+
+
 def reads_from(df: DataFrame, path: str) -> bool:
     """True if the plan of ``df`` scans any file under ``path``."""
-    root = _norm(path) + "/"
-    return any(_norm(f).startswith(root) for f in df.inputFiles())
+    return any(_under(f, path) for f in df.inputFiles())
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
