@@ -37,6 +37,8 @@ def scratch(spark):
 
 
 def write_text(path: str, name: str, text: str) -> str:
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
     os.makedirs(path, exist_ok=True)
     full = os.path.join(path, name)
     with open(full, "w") as fh:
