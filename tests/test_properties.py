@@ -64,3 +64,31 @@ def test_flatten_keeps_rows_and_leaves(spark, rows):
     out = flatten(df)
     assert out.columns == ["id", "s.a", "s.b"]
     assert out.count() == len(rows)
+
+
+key_value = st.one_of(st.none(), st.integers(0, 3))
+
+
+@SETTINGS
+@given(
+    source=st.lists(st.tuples(key_value, key_value, st.integers(0, 9)), min_size=1, max_size=30),
+    target=st.lists(st.tuples(key_value, key_value), max_size=15),
+    null_safe=st.tuples(st.booleans(), st.booleans()),
+    limit=st.sampled_from([None, 0]),
+)
+def test_anti_join_matches_brute_force(spark, source, target, null_safe, limit):
+    from tierkit.operators.merge import KeyPair, new_rows
+
+    src = spark.createDataFrame(source, "a int, b int, v int")
+    tgt = spark.createDataFrame(target, "a int, b int")
+    keys = [KeyPair("a", "a", null_safe[0]), KeyPair("b", "b", null_safe[1])]
+
+    def eq(x, y, ns):
+        return x == y if ns else (x is not None and y is not None and x == y)
+
+    expected = sorted(
+        (s for s in source if not any(eq(s[0], t[0], null_safe[0]) and eq(s[1], t[1], null_safe[1]) for t in target)),
+        key=repr,
+    )
+    got = sorted((tuple(r) for r in new_rows(src, tgt, keys, broadcast_max_bytes=limit).collect()), key=repr)
+    assert got == expected
