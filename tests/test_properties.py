@@ -92,3 +92,25 @@ def test_anti_join_matches_brute_force(spark, source, target, null_safe, limit):
     )
     got = sorted((tuple(r) for r in new_rows(src, tgt, keys, broadcast_max_bytes=limit).collect()), key=repr)
     assert got == expected
+
+
+@SETTINGS
+@given(
+    data=st.lists(st.tuples(key_value, key_value, st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 5)), min_size=1, max_size=30),
+    parts=st.integers(1, 4),
+)
+def test_dedup_matches_brute_force(spark, data, parts):
+    from tierkit.operators import dedup_first
+
+    df = spark.createDataFrame(data, "k int, o int, p int, w int").repartition(parts)
+    nulls_first = lambda x: (x is not None, x if x is not None else 0)
+    groups: dict = {}
+    for row in data:
+        best = groups.get(row[0])
+        # order: o, then the remaining columns p, w (k is the key)
+        rank = tuple(nulls_first(x) for x in (row[1], row[2], row[3]))
+        if best is None or rank < best[0]:
+            groups[row[0]] = (rank, row)
+    expected = sorted((r for _, r in groups.values()), key=repr)
+    got = sorted((tuple(r) for r in dedup_first(df, "k", "o").collect()), key=repr)
+    assert got == expected
