@@ -20,6 +20,7 @@ from tierkit.operators import (
     stamp_capture,
 )
 from tierkit.sources import ingest_envelope, read_table, table_exists, write_envelopes, write_table
+from tierkit.streaming import incremental_append, incremental_merge
 
 __all__ = [
     "capture_date",
@@ -30,6 +31,8 @@ __all__ = [
     "explode_columns",
     "flatten",
     "impute",
+    "incremental_append",
+    "incremental_merge",
     "ingest_envelope",
     "list_literal",
     "merge_insert_only",
