@@ -128,3 +128,16 @@ def test_under_matches_absolute_and_relative_targets():
     assert not _under(f, "/data/lake/silver/stop")
     assert _under(f, "lake/silver/stops")
     assert not _under(f, "silver/stop")
+
+
+def test_ingest_with_inferred_schema(spark, scratch):
+    d = scratch("landing")
+    write_text(d, "a.json", json.dumps({"Stops": [{"StopID": "1", "Lat": 38.9, "Routes": ["A"]}]}))
+    write_text(d, "b.json", json.dumps({"Stops": [{"StopID": "2", "Geo": {"x": 1}}]}))
+    with pytest.raises(ValueError, match="record_schema"):
+        ingest_envelope(spark, d, "Stops", None)
+    out = ingest_envelope(spark, d, "Stops", None, infer_schema=True)
+    assert sorted(out.columns) == ["Geo", "Lat", "Routes", "StopID"]
+    assert out.count() == 2
+    with pytest.raises(ValueError, match="no response"):
+        ingest_envelope(spark, d, "Missing", None, infer_schema=True)

@@ -44,12 +44,29 @@ def read_envelopes(
     return reader.json(path)
 
 
+def infer_record_schema(
+    spark: SparkSession, path: str, data_field: str, multi_line: bool = True, sampling_ratio: float = 1.0
+) -> T.StructType:
+    """Record schema learned from the landed responses (an extra pass over
+    them, or over a share of them with ``sampling_ratio``)."""
+    envelope = (
+        spark.read.option("multiLine", multi_line).option("samplingRatio", str(sampling_ratio)).json(path).schema
+    )
+    if data_field not in envelope.names:
+        raise ValueError(f"no response under {path} has the field '{data_field}'")
+    field = envelope[data_field].dataType
+    if not (isinstance(field, T.ArrayType) and isinstance(field.elementType, T.StructType)):
+        raise ValueError(f"field '{data_field}' is {field.simpleString()}, not a list of records")
+    return field.elementType
+
+
 def ingest_envelope(
     spark: SparkSession,
     path: str,
     data_field: str,
-    record_schema: T.StructType,
+    record_schema: T.StructType | None,
     multi_line: bool = True,
+    infer_schema: bool = False,
     **options: str,
 ) -> DataFrame:
     """One row per element of ``data_field`` across all responses under ``path``.
@@ -58,7 +75,15 @@ def ingest_envelope(
     such files are not splittable, so parallelism comes from the file count.
     ``multi_line=False`` reads JSON lines (one response per line), which Spark
     splits freely.  Nested objects stay structs (see ``flatten``).
+
+    The record schema is declared; ``infer_schema=True`` (with
+    ``record_schema=None``) learns it from the files instead, at the cost of
+    one more pass over them.
     """
+    if record_schema is None:
+        if not infer_schema:
+            raise ValueError("pass record_schema, or infer_schema=True to learn it from the files")
+        record_schema = infer_record_schema(spark, path, data_field, multi_line)
     raw = read_envelopes(spark, path, data_field, record_schema, multi_line=multi_line, **options)
     return raw.select(F.inline(_required_rows(data_field, record_schema)))
 
