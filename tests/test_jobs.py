@@ -197,3 +197,31 @@ def test_command_line_runs_both_layers(spark, scratch):
     assert read_table(spark, lake.silver("stops"), silver_dimension_schema(stops)).count() == 1
     assert read_table(spark, lake.silver("positions"), silver_fact_schema(positions)).count() == 1
     assert main(["silver", "--lake", root]) == 0
+
+
+def test_nested_dimension_records_flow_through_both_layers(spark, scratch):
+    from pyspark.sql import types as T
+
+    from tierkit.plans import DimensionFeed
+
+    record = T.StructType([
+        T.StructField("StopID", T.StringType()),
+        T.StructField("Geo", T.StructType([T.StructField("Lat", T.DoubleType()), T.StructField("Lon", T.DoubleType())])),
+        T.StructField("Routes", T.ArrayType(T.StringType())),
+    ])
+    feed = DimensionFeed(
+        name="geo_stops", data_field="Stops", record_schema=record, key="StopID",
+        casts={"StopID": "int32", "Geo.Lat": "float"}, renames={"Geo.Lon": "Longitude"}, list_col="Routes",
+    )
+    lake = LakePaths(scratch("lake"))
+    recs = [{"StopID": "1", "Geo": {"Lat": 38.5, "Lon": -77.0}, "Routes": ["A", "B"]},
+            {"StopID": "01", "Geo": {"Lat": 0.0, "Lon": 0.0}, "Routes": []},
+            {"StopID": "2", "Geo": None, "Routes": None}]
+    bronze_dimension(spark, feed, land(scratch, "Stops", recs), lake)
+    silver_dimension(spark, feed, lake)
+    silver_dimension(spark, feed, lake)
+    silver = read_table(spark, lake.silver("geo_stops"), silver_dimension_schema(feed))
+    assert silver.columns == ["StopID", "Geo.Lat", "Longitude"]
+    assert rows(silver, "StopID", "Geo.Lat", "Longitude") == [(1, 38.5, -77.0), (2, None, None)]
+    child = read_table(spark, lake.silver_child("geo_stops", "Routes"), silver_child_schema(feed))
+    assert rows(child, "StopID", "Routes") == sorted([(1, "A"), (1, "B"), (2, None)], key=repr)
