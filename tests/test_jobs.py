@@ -225,3 +225,10 @@ def test_nested_dimension_records_flow_through_both_layers(spark, scratch):
     assert rows(silver, "StopID", "Geo.Lat", "Longitude") == [(1, 38.5, -77.0), (2, None, None)]
     child = read_table(spark, lake.silver_child("geo_stops", "Routes"), silver_child_schema(feed))
     assert rows(child, "StopID", "Routes") == sorted([(1, "A"), (1, "B"), (2, None)], key=repr)
+
+
+def test_lake_paths_layout():
+    lake = LakePaths("/lake", "api")
+    assert lake.bronze("stop_Search") == "/lake/bronze/api/stop_Search"
+    assert lake.silver_child("stop_Search", "Routes") == "/lake/silver/api/stop_Search_Routes"
+    assert LakePaths("/lake").silver("x") == "/lake/silver/x"

@@ -28,6 +28,7 @@ def _args(argv: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="tierkit", description="raw → refined layers of the transit feeds")
     p.add_argument("layer", choices=["all", "bronze", "silver"])
     p.add_argument("--lake", required=True, help="lake root directory (shared storage)")
+    p.add_argument("--namespace", default="", help="folder per source under each layer")
     p.add_argument("--stops", help="landing directory of the stop (dimension) responses")
     p.add_argument("--positions", help="landing directory of the position (fact) responses")
     p.add_argument("--capture-ts", help="capture instant, ISO text; default: now")
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName("tierkit").getOrCreate()
     stops, positions = transit_feeds()
-    lake = LakePaths(a.lake.rstrip("/"))
+    lake = LakePaths(a.lake.rstrip("/"), a.namespace)
     capture = dt.datetime.fromisoformat(a.capture_ts) if a.capture_ts else dt.datetime.now().replace(microsecond=0)
     multi_line = not a.json_lines
     if a.layer in ("all", "bronze"):
