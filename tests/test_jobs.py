@@ -229,6 +229,6 @@ def test_nested_dimension_records_flow_through_both_layers(spark, scratch):
 
 def test_lake_paths_layout():
     lake = LakePaths("/lake", "api")
-    assert lake.bronze("stop_Search") == "/lake/bronze/api/stop_Search"
-    assert lake.silver_child("stop_Search", "Routes") == "/lake/silver/api/stop_Search_Routes"
+    assert lake.bronze("stops") == "/lake/bronze/api/stops"
+    assert lake.silver_child("stops", "Routes") == "/lake/silver/api/stops_Routes"
     assert LakePaths("/lake").silver("x") == "/lake/silver/x"
