@@ -37,6 +37,7 @@ HEADLINE = [
     "full_run",
     "stream_merge",
     "stream_fact",
+    "stream_dim",
 ]
 
 

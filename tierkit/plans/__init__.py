@@ -4,7 +4,9 @@ from tierkit.plans.feeds import DimensionFeed, FactFeed
 from tierkit.plans.jobs import (
     LakePaths,
     bronze_dimension,
+    bronze_dimension_stream,
     bronze_fact,
+    bronze_fact_stream,
     full_run,
     silver_dimension,
     silver_fact,
@@ -15,7 +17,9 @@ __all__ = [
     "FactFeed",
     "LakePaths",
     "bronze_dimension",
+    "bronze_dimension_stream",
     "bronze_fact",
+    "bronze_fact_stream",
     "full_run",
     "silver_dimension",
     "silver_fact",

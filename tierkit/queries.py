@@ -30,7 +30,15 @@ from tierkit.operators import (
     select_strict,
     stamp_capture,
 )
-from tierkit.plans import LakePaths, bronze_dimension, bronze_fact, full_run, silver_dimension, silver_fact
+from tierkit.plans import (
+    LakePaths,
+    bronze_dimension,
+    bronze_dimension_stream,
+    bronze_fact,
+    full_run,
+    silver_dimension,
+    silver_fact,
+)
 from tierkit.plans.feeds import transit_feeds
 from tierkit.plans.jobs import (
     bronze_dimension_schema,
@@ -537,6 +545,22 @@ def q_stream_fact(spark, sf_dir):
     return back.select("VehicleID", "TripID", "BlockNumber", "fecha_consulta", "hora_consulta")
 
 
+def q_stream_dim(spark, sf_dir):
+    """Stops landed in two overlapping waves, merged into the raw table by the
+    dimension stream, then refined: same result as the batch layers."""
+    stops, _ = transit_feeds()
+    part = table(spark, sf_dir, "part")
+    landing = scratch_path(spark, "stream-dim-landing")
+    ckpt = scratch_path(spark, "stream-dim-checkpoint")
+    lake = LakePaths(scratch_path(spark, "stream-dim"))
+    write_envelopes(stop_records(part.where(F.col("p_size") <= 25)), f"{landing}/wave=1", stops.data_field)
+    bronze_dimension_stream(spark, stops, landing, lake, ckpt, multi_line=False)
+    write_envelopes(stop_records(part), f"{landing}/wave=2", stops.data_field)
+    bronze_dimension_stream(spark, stops, landing, lake, ckpt, multi_line=False)
+    silver_dimension(spark, stops, lake)
+    return read_table(spark, lake.silver(stops.name), silver_dimension_schema(stops))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_ingest": q_envelope_ingest,
     "envelope_documents": q_envelope_documents,
@@ -579,6 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_run": q_full_run,
     "stream_merge": q_stream_merge,
     "stream_fact": q_stream_fact,
+    "stream_dim": q_stream_dim,
 }
 
 _FIRST_POSITION = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1"
@@ -697,6 +722,10 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'silver_stops_Routes', count(*) FROM (SELECT unnest(string_split(p_name, ' ')) FROM part)"
     ),
     "stream_merge": "SELECT * FROM nation",
+    "stream_dim": (
+        "SELECT CAST(p_partkey AS INTEGER) AS StopID, p_name AS Stop_Name, p_retailprice AS Lon, "
+        "CAST(p_size AS DOUBLE) AS Lat FROM part"
+    ),
     "stream_fact": (
         "SELECT CAST(user_id AS VARCHAR) AS VehicleID, CAST(event_id AS VARCHAR) AS TripID, "
         "NULLIF(event_type, 'error') AS BlockNumber, "

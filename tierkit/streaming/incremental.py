@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierkit.operators.clean import dedup_first
+from tierkit.operators.nested import flatten
 from tierkit.operators.merge import merge_insert_only, merge_keys
 from tierkit.operators.stamp import DATE_COL, TIME_COL, stamp_capture
 from tierkit.sources.envelope import _required_rows, read_envelopes
@@ -67,24 +68,34 @@ def incremental_merge(
     multi_line: bool = True,
     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
     partition_cols: str | Sequence[str] | None = None,
+    flatten_sep: str | None = None,
+    target_schema: T.StructType | None = None,
 ) -> None:
     """Merge every response landed since the last run into ``target``.
 
     Runs with the ``availableNow`` trigger: all new files, in bounded
-    batches, then stop.  Run it again later to pick up newer files.
+    batches, then stop.  Run it again later to pick up newer files.  With
+    ``flatten_sep`` nested records are flattened first (as the batch raw
+    layer does); ``target_schema`` is the table's schema (default: the
+    records').
     """
     keys = [key] if isinstance(key, str) else list(key)
     predicate = [(k, k) for k in keys]
     merge_keys(predicate)
     stream = landed_rows(spark, landing, data_field, record_schema, multi_line, max_files_per_trigger)
 
+    schema = target_schema if target_schema is not None else record_schema
+
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
         # The merge runs two jobs over the batch (size check, then the write);
         # keep the de-duplicated batch — bounded by max_files_per_trigger —
         # instead of parsing its files twice.
-        first = dedup_first(batch, keys, _ORDER).drop(*_ORDER).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = dedup_first(batch, keys, _ORDER).drop(*_ORDER)
+        if flatten_sep is not None:
+            rows = flatten(rows, flatten_sep)
+        first = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            merge_insert_only(batch.sparkSession, first, target, predicate, schema=record_schema, partition_cols=partition_cols)
+            merge_insert_only(batch.sparkSession, first, target, predicate, schema=schema, partition_cols=partition_cols)
         finally:
             first.unpersist()
 
