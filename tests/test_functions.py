@@ -134,3 +134,11 @@ def test_strict_cast_auto_nulls_by_target_type(spark):
 )
 def test_list_literal_quotes_are_opaque(spark, text, expected):
     assert one(spark, list_literal(F.lit(text))) == expected
+
+
+def test_checkpoint_root_prefers_session_setting(spark):
+    from tierkit.session import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root and scratch_path(spark, "x").startswith(root + "/tierkit-scratch/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

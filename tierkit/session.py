@@ -47,12 +47,16 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rstrip("/")
-    # Unset (tests, local runs): make one and register it for checkpoint().
+    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+    if not master.startswith("local"):
+        # On a cluster a temporary folder would be local to one machine.
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+    # Unset in a local session (tests, a laptop): make one and register it.
     root = tempfile.mkdtemp(prefix="tierkit-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if sc is None:
+        return root
+    sc.setCheckpointDir(root)  # later calls find it via getCheckpointDir()
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
