@@ -232,3 +232,25 @@ def test_lake_paths_layout():
     assert lake.bronze("stops") == "/lake/bronze/api/stops"
     assert lake.silver_child("stops", "Routes") == "/lake/silver/api/stops_Routes"
     assert LakePaths("/lake").silver("x") == "/lake/silver/x"
+
+
+def test_command_line_stream_mode_takes_new_files_only(spark, scratch):
+    import os
+
+    from tierkit.__main__ import main
+
+    stops_landing = land(scratch, "Stops", [stop("1", "A", ["R1"])])
+    pos_landing = land(scratch, "BusPositions", [position("5", "2025-01-01T21:00:00")])
+    root, ckpt = scratch("lake"), scratch("ckpt")
+    args = ["all", "--lake", root, "--stops", stops_landing, "--positions", pos_landing, "--stream-checkpoint", ckpt]
+    assert main(args + ["--capture-ts", "2025-01-01T21:00:05"]) == 0
+    with open(os.path.join(pos_landing.replace("file:", ""), "r2.json"), "w") as fh:
+        fh.write(json.dumps({"BusPositions": [position("6", "2025-01-01T21:00:30")]}))
+    assert main(args + ["--capture-ts", "2025-01-01T21:00:35"]) == 0
+    stops, positions = transit_feeds()
+    lake = LakePaths(root)
+    raw = read_table(spark, lake.bronze("positions"), bronze_fact_schema(positions))
+    assert sorted((r["VehicleID"], r["hora_consulta"]) for r in raw.collect()) == [("5", "21:00:05"), ("6", "21:00:35")]
+    refined = read_table(spark, lake.silver("positions"), silver_fact_schema(positions)).collect()
+    assert [(r["VehicleID"], r["hora_consulta"]) for r in refined] == [(6, "21:00:35")]
+    assert read_table(spark, lake.silver("stops"), silver_dimension_schema(stops)).count() == 1

@@ -20,7 +20,15 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from tierkit.plans import LakePaths, bronze_dimension, bronze_fact, silver_dimension, silver_fact
+from tierkit.plans import (
+    LakePaths,
+    bronze_dimension,
+    bronze_dimension_stream,
+    bronze_fact,
+    bronze_fact_stream,
+    silver_dimension,
+    silver_fact,
+)
 from tierkit.plans.feeds import transit_feeds
 
 
@@ -33,6 +41,10 @@ def _args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--positions", help="landing directory of the position (fact) responses")
     p.add_argument("--capture-ts", help="capture instant, ISO text; default: now")
     p.add_argument("--json-lines", action="store_true", help="landing files hold one response per line")
+    p.add_argument(
+        "--stream-checkpoint",
+        help="raw layer as file streams: only files landed since the last run (checkpoints under this folder)",
+    )
     a = p.parse_args(argv)
     if a.layer in ("all", "bronze") and not (a.stops and a.positions):
         p.error("--stops and --positions are required for the raw layer")
@@ -47,8 +59,13 @@ def main(argv: list[str] | None = None) -> int:
     capture = dt.datetime.fromisoformat(a.capture_ts) if a.capture_ts else dt.datetime.now().replace(microsecond=0)
     multi_line = not a.json_lines
     if a.layer in ("all", "bronze"):
-        bronze_dimension(spark, stops, a.stops, lake, multi_line=multi_line)
-        bronze_fact(spark, positions, a.positions, lake, capture, multi_line=multi_line)
+        if a.stream_checkpoint:
+            ckpt = a.stream_checkpoint.rstrip("/")
+            bronze_dimension_stream(spark, stops, a.stops, lake, f"{ckpt}/{stops.name}", multi_line=multi_line)
+            bronze_fact_stream(spark, positions, a.positions, lake, f"{ckpt}/{positions.name}", capture, multi_line=multi_line)
+        else:
+            bronze_dimension(spark, stops, a.stops, lake, multi_line=multi_line)
+            bronze_fact(spark, positions, a.positions, lake, capture, multi_line=multi_line)
     if a.layer in ("all", "silver"):
         silver_dimension(spark, stops, lake)
         # With a capture given, refine only that capture (partition pruning).
