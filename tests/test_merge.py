@@ -191,3 +191,18 @@ def test_merge_reads_only_target_keys(spark, scratch, capsys, limit):
     assert target_scans, plan
     for ln in target_scans:
         assert re.search(r"ReadSchema: struct<k:int>", ln), ln
+
+
+def test_merge_survives_retried_tasks():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = os.path.join(root, "tests", "scripts", "task_retry_merge.py")
+    res = subprocess.run([sys.executable, script, root], capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    counts = json.loads(res.stdout.strip().splitlines()[-1])
+    # 500 target keys (even) + 1500 new keys (odd 1..1999 and even 1000..1998), no duplicates
+    assert counts == {"broadcast": [2000, 2000], "shuffled": [2000, 2000]}
