@@ -17,7 +17,8 @@ def envelope_schema(data_field: str, record_schema: T.StructType) -> T.StructTyp
     return T.StructType([T.StructField(data_field, T.ArrayType(record_schema, True), True)])
 
 
-def _required_rows(data_field: str, record_schema: T.StructType) -> Column:
+def required_rows(data_field: str, record_schema: T.StructType) -> Column:
+    """The data field as an array column; a response without it raises, naming its file."""
     arr_type = T.ArrayType(record_schema, True)
     msg = F.concat(F.lit(f"response has no array field '{data_field}': "), F.col("_metadata.file_path"))
     return F.coalesce(F.col(data_field), F.raise_error(msg).cast(arr_type))
@@ -85,7 +86,7 @@ def ingest_envelope(
             raise ValueError("pass record_schema, or infer_schema=True to learn it from the files")
         record_schema = infer_record_schema(spark, path, data_field, multi_line)
     raw = read_envelopes(spark, path, data_field, record_schema, multi_line=multi_line, **options)
-    return raw.select(F.inline(_required_rows(data_field, record_schema)))
+    return raw.select(F.inline(required_rows(data_field, record_schema)))
 
 
 def write_envelopes(

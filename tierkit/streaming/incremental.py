@@ -29,7 +29,7 @@ from tierkit.operators.clean import dedup_first
 from tierkit.operators.nested import flatten
 from tierkit.operators.merge import merge_insert_only, merge_keys
 from tierkit.operators.stamp import DATE_COL, TIME_COL, stamp_capture
-from tierkit.sources.envelope import _required_rows, read_envelopes
+from tierkit.sources.envelope import required_rows, read_envelopes
 
 _ORDER = ["__landed", "__file", "__pos"]
 
@@ -52,7 +52,7 @@ def landed_rows(
     exploded = raw.select(
         F.col("_metadata.file_modification_time").alias("__landed"),
         F.col("_metadata.file_path").alias("__file"),
-        F.posexplode(_required_rows(data_field, record_schema)).alias("__pos", "__row"),
+        F.posexplode(required_rows(data_field, record_schema)).alias("__pos", "__row"),
     )
     return exploded.select(*_ORDER, *[F.col("__row").getField(f.name).alias(f.name) for f in record_schema.fields])
 
@@ -127,7 +127,7 @@ def incremental_append(
     ts = dt.datetime.now().replace(microsecond=0) if capture_ts is None else capture_ts
     options = {} if max_files_per_trigger is None else {"maxFilesPerTrigger": str(max_files_per_trigger)}
     raw = read_envelopes(spark, landing, data_field, record_schema, multi_line=multi_line, stream=True, **options)
-    rows = stamp_capture(raw.select(F.inline(_required_rows(data_field, record_schema))), ts)
+    rows = stamp_capture(raw.select(F.inline(required_rows(data_field, record_schema))), ts)
     query = (
         rows.writeStream.format("parquet")
         .partitionBy(*partition_cols)
