@@ -206,3 +206,16 @@ def test_merge_survives_retried_tasks():
     counts = json.loads(res.stdout.strip().splitlines()[-1])
     # 500 target keys (even) + 1500 new keys (odd 1..1999 and even 1000..1998), no duplicates
     assert counts == {"broadcast": [2000, 2000], "shuffled": [2000, 2000]}
+
+
+def test_small_merges_write_few_files(spark, scratch):
+    import glob
+
+    p = scratch("merge")
+    files = lambda: len(glob.glob(p.replace("file:", "") + "/*.parquet"))
+    first = spark.range(0, 300, 1, 6).selectExpr("cast(id as int) as k", "'a' as v")
+    merge_insert_only(spark, first, p, ["k"])
+    assert files() == 1
+    more = spark.range(200, 600, 1, 6).selectExpr("cast(id as int) as k", "'b' as v")
+    merge_insert_only(spark, more, p, ["k"])
+    assert files() == 2 and read_table(spark, p, KV).count() == 600

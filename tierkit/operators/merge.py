@@ -23,6 +23,7 @@ several tasks (see ``_salted_anti_join``).
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -35,6 +36,10 @@ from pyspark.sql import types as T
 from tierkit.operators._names import q, quote
 from tierkit.sources.tables import TableNotFound, read_table, write_table
 
+# Rows per output file of a merge's write (about 100–500 MB of Parquet for
+# typical rows).
+ROWS_PER_FILE = 1_000_000
+
 # The aliases a merge predicate uses for the two sides.
 SOURCE_ALIAS = "source"
 TARGET_ALIAS = "target"
@@ -216,9 +221,10 @@ def _plan_new_rows(
     keys: Sequence[KeyPair],
     broadcast_max_bytes: int | None,
     keep_hits: bool,
-) -> tuple[DataFrame, DataFrame | None]:
-    """The anti-join plan, plus (broadcast path, ``keep_hits``) the small
-    persisted frame of matched target keys the caller must unpersist."""
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """The anti-join plan, (broadcast path, ``keep_hits``) the small persisted
+    frame of matched target keys the caller must unpersist, and the number of
+    source rows (an upper bound on the rows it yields)."""
     spark = source.sparkSession
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     t_keys = target.select(*[q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)])
@@ -233,9 +239,9 @@ def _plan_new_rows(
         if keep_hits:
             hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
         anti = _all([_eq(source[quote(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-        return source.join(F.broadcast(hits), anti, "left_anti"), (hits if keep_hits else None)
+        return source.join(F.broadcast(hits), anti, "left_anti"), (hits if keep_hits else None), n_rows
 
-    return _salted_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark)), None
+    return _salted_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark)), None, n_rows
 
 
 def new_rows(
@@ -248,6 +254,11 @@ def new_rows(
     return _plan_new_rows(source, target, keys, broadcast_max_bytes, keep_hits=False)[0]
 
 
+def _few_files(df: DataFrame, rows: int, rows_per_file: int) -> DataFrame:
+    """At most one output file per ``rows_per_file`` rows (no shuffle)."""
+    return df.coalesce(max(1, math.ceil(rows / rows_per_file)))
+
+
 def _check_schema(source: DataFrame, target_schema: T.StructType) -> DataFrame:
     s_names, t_names = set(source.columns), set(target_schema.names)
     if s_names != t_names:
@@ -274,6 +285,7 @@ def merge_insert_only(
     schema: T.StructType | None = None,
     partition_cols: str | Sequence[str] | None = None,
     broadcast_max_bytes: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Insert the rows of ``new_df`` that match no row of the table at ``path``.
 
@@ -281,7 +293,10 @@ def merge_insert_only(
     columns are matched by name and must agree in name and type.  An absent
     table is created from all of ``new_df``, partitioned by
     ``partition_cols``; appends must pass the same partition columns.
-    Parquet appends are not transactional: one writer per table.
+    Parquet appends are not transactional: one writer per table.  When the
+    source is small (broadcast path) and on create, an unpartitioned write is
+    packed into about one file per ``rows_per_file`` rows, so frequent small
+    merges do not leave a file per input partition.
     """
     keys = merge_keys(predicate)
     missing = [k.source for k in keys if k.source not in new_df.columns]
@@ -292,19 +307,27 @@ def merge_insert_only(
         target = read_table(spark, path, table_schema)
     except TableNotFound:
         created = _check_schema(new_df, table_schema) if schema is not None else new_df
+        if not partition_cols:
+            created = _few_files(created, created.count(), rows_per_file)
         write_table(created, path, mode="errorifexists", partition_cols=partition_cols)
         return
     missing = [k.target for k in keys if k.target not in target.columns]
     if missing:
         raise KeyError(f"merge keys not in the target: {missing}")
     source = _check_schema(new_df, target.schema)
-    inserts, hits = _plan_new_rows(source, target, keys, broadcast_max_bytes, keep_hits=True)
+    inserts, hits, bound = _plan_new_rows(source, target, keys, broadcast_max_bytes, keep_hits=True)
     try:
         # Broadcast path: with the matched keys kept, an empty insert set is
         # found by a scan of the source alone — skip the write, which would
         # otherwise add an empty file on every run with nothing new.
         if hits is not None and inserts.isEmpty():
             return
+        if hits is not None and not partition_cols:
+            # Broadcast path: the join runs in the source's scan, and the
+            # inserted rows are bounded by the source rows, so pack them into
+            # few files.  (The shuffled path keeps its reducers: coalescing
+            # them would also squeeze the target keys into few tasks.)
+            inserts = _few_files(inserts, bound, rows_per_file)
         write_table(inserts, path, mode="append", partition_cols=partition_cols)
     finally:
         if hits is not None:

@@ -93,6 +93,7 @@ def write_table(
     partition_cols: str | Sequence[str] | None = None,
     fmt: str = "parquet",
     rebalance: bool = True,
+    compact: bool = False,
 ) -> None:
     """Write ``df`` to ``path`` with a save mode, optionally partitioned.
 
@@ -104,6 +105,8 @@ def write_table(
     * A partitioned write first rebalances on the partition columns, so each
       partition value lands in few, evenly sized files; AQE splits a hot value
       (one capture is one value) over many tasks instead of one.
+    * ``compact=True`` rebalances an unpartitioned write the same way (one
+      extra shuffle of the written rows): meant for small, frequent appends.
     """
     mode = mode.lower()
     if mode not in SAVE_MODES:
@@ -119,6 +122,10 @@ def write_table(
         # columns, which would put one capture in one task: keep the input's
         # partitioning instead.
         df = df.hint("rebalance", *parts)
+    elif compact and not parts and _aqe_on(df):
+        # Small, frequent appends: let AQE pack the rows into few files of the
+        # advisory size instead of one file per input partition.
+        df = df.hint("rebalance")
     writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
     if parts:
         writer = writer.partitionBy(*parts)
