@@ -29,7 +29,7 @@ def plan(df, mode: str = "simple") -> str:
         df.explain(mode)
     text = re.sub(r"#\d+L?", "", buf.getvalue())
     text = re.sub(r"\[plan_id=\d+\]", "", text)
-    text = re.sub(r"file:[^\],]*/tierkit-scratch/([a-z-]+)-[0-9a-f]{32}", r"<scratch>/\1", text)
+    text = re.sub(r"file:[^\],]*/tierkit-scratch/([a-z-]+?)-[0-9a-f]+(\.\.\.)?", r"<scratch>/\1", text)
     text = re.sub(r"file:/root/testdata/[^\],]*/", "<testdata>/", text)
     return "\n".join(line.rstrip() for line in text.strip().splitlines())
 
