@@ -1,4 +1,10 @@
-"""Every registered query against its DuckDB oracle at the smoke scale."""
+"""Every registered query against its DuckDB oracle.
+
+Runs at the smoke scale; set ``TIERKIT_ORACLE_SF_DIR`` (e.g.
+``/root/testdata/sf0.01``) to run the same gate at another scale.
+"""
+
+import os
 
 import pytest
 
@@ -7,11 +13,12 @@ from conftest import SMOKE_DIR
 from oracle import compare, duck
 
 NAMES = sorted(entry_mod.queries())
+SF_DIR = os.environ.get("TIERKIT_ORACLE_SF_DIR", SMOKE_DIR)
 
 
 @pytest.fixture(scope="module")
 def con():
-    return duck(SMOKE_DIR)
+    return duck(SF_DIR)
 
 
 def test_every_query_has_an_oracle():
@@ -20,7 +27,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, con, name, entry_mod.queries()[name], entry_mod.oracle_sql()[name], SMOKE_DIR)
+    res = compare(spark, con, name, entry_mod.queries()[name], entry_mod.oracle_sql()[name], SF_DIR)
     assert res["columns_match"], res["columns"]
     assert res["rows"][0] == res["rows"][1], res["rows"]
     assert res["values_match"]
