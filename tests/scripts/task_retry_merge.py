@@ -39,4 +39,20 @@ for label, limit in (("broadcast", None), ("shuffled", 0)):
     merge_insert_only(spark, source, path, ["k"], broadcast_max_bytes=limit)
     back = read_table(spark, path, "k bigint, v string")
     out[label] = [back.count(), back.select("k").distinct().count()]
+
+# keep-first under the same failures: 4000 rows, keys 0..999 plus a hot key -1
+from tierkit.operators import dedup_first  # noqa: E402
+
+rows = (
+    spark.range(0, 4000, 1, 4)
+    .selectExpr("case when id % 4 = 0 then -1 else id % 1000 end as k", "id as o")
+    .where(flaky(F.col("o")))
+)
+first = dedup_first(rows, "k", "o")
+kept = {r["k"]: r["o"] for r in first.collect()}
+expected = {}
+for i in range(4000):
+    k = -1 if i % 4 == 0 else i % 1000
+    expected.setdefault(k, i)
+out["dedup_exact"] = kept == expected
 print(json.dumps(out))

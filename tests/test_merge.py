@@ -205,7 +205,7 @@ def test_merge_survives_retried_tasks():
     assert res.returncode == 0, res.stderr[-2000:]
     counts = json.loads(res.stdout.strip().splitlines()[-1])
     # 500 target keys (even) + 1500 new keys (odd 1..1999 and even 1000..1998), no duplicates
-    assert counts == {"broadcast": [2000, 2000], "shuffled": [2000, 2000]}
+    assert counts == {"broadcast": [2000, 2000], "shuffled": [2000, 2000], "dedup_exact": True}
 
 
 def test_small_merges_write_few_files(spark, scratch):
