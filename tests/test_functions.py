@@ -142,3 +142,9 @@ def test_checkpoint_root_prefers_session_setting(spark):
     root = checkpoint_root(spark)
     assert root and scratch_path(spark, "x").startswith(root + "/tierkit-scratch/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_resolve_type_complex_names(spark):
+    assert resolve_type("decimal(10,2)").simpleString() == "decimal(10,2)"
+    assert resolve_type("array<string>").simpleString() == "array<string>"
+    assert one(spark, strict_cast(F.lit("12.345"), "decimal(10,2)")) == __import__("decimal").Decimal("12.35")

@@ -257,3 +257,11 @@ def test_command_line_stream_mode_takes_new_files_only(spark, scratch):
     refined = read_table(spark, lake.silver("positions"), silver_fact_schema(positions)).collect()
     assert [(r["VehicleID"], r["hora_consulta"]) for r in refined] == [(6, "21:00:35")]
     assert read_table(spark, lake.silver("stops"), silver_dimension_schema(stops)).count() == 1
+
+
+def test_command_line_requires_landing_for_raw_layer(capsys):
+    from tierkit.__main__ import main
+
+    with pytest.raises(SystemExit):
+        main(["bronze", "--lake", "/nowhere"])
+    assert "--stops and --positions are required" in capsys.readouterr().err
