@@ -35,7 +35,9 @@ MIN_ROWS = 100
 CONFIDENCE = 1 - 1e-6
 MIN_WORDS = 50
 #: Least standard deviation of each coordinate: below it, differences are noise.
-FLOORS = (0.25, 0.04, 0.05, 0.05, 0.05)
+#: Most sound texts repeat nothing, so a plain estimate of the last two would
+#: reject a text for one repeated line.
+FLOORS = (0.25, 0.04, 0.05, 0.15, 0.15)
 DIMS = len(FLOORS)
 _PAIRS = list(combinations_with_replacement(range(DIMS), 2))
 _BINS = 64  # per factor e of squared distance
@@ -116,15 +118,16 @@ def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _vector() -> list[Column]:
-    """Transformed statistics: log length, log mean word length, and square
-    roots of the shares of symbols, of repeated lines and of repeated words."""
+    """Transformed statistics: log length, log mean word length, square root of
+    the share of symbols, and the shares of repeated lines and words."""
     words = F.greatest(F.col("n_words"), F.lit(1))
-    share = [
-        F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
+    return [
+        F.log1p("n_words"),
+        F.log(F.greatest(F.col("word_chars") / words, F.lit(0.5))),
+        F.sqrt(F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
         F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         F.col("n_repeat_words") / words,
     ]
-    return [F.log1p("n_words"), F.log(F.greatest(F.col("word_chars") / words, F.lit(0.5))), *[F.sqrt(s) for s in share]]
 
 
 def _distance() -> Column:
