@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.llm import bpe, chat, packing, toxicity
+from tierkit.llm.ann import nearest
 from tierkit.llm.lines import drop_boilerplate
 from tierkit.llm.minhash import near_duplicates
 from tierkit.llm.outliers import judge
@@ -76,6 +77,10 @@ def op6_toxicity(spark, sf_dir):
     )
 
 
+def op7_multi_index_search(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -96,6 +101,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_toxicity": op6_toxicity,
+    "op7_multi_index_search": op7_multi_index_search,
     "op8_packing": op8_packing,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_site_lines": op10_site_lines,
