@@ -11,6 +11,7 @@ from tierkit.llm.lines import drop_boilerplate
 from tierkit.llm.minhash import near_duplicates
 from tierkit.llm.outliers import judge
 from tierkit.llm.shards import uniform_shards
+from tierkit.llm.substring import repeated_passages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,10 @@ def op2_chat_formatting(spark, sf_dir):
     )
 
 
+def op3_substring_chains(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
     return decoded.select(
@@ -98,6 +103,7 @@ def op10_site_lines(spark, sf_dir):
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_substring_chains": op3_substring_chains,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_toxicity": op6_toxicity,
