@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from tierkit.llm.components import components
 from tierkit.llm.scratch import keep
-from tierkit.llm.words import chunks, mix, shingles, splitmix
+from tierkit.llm.words import chunks, shingles, splitmix
+from tierkit.operators._names import q
 
 SHINGLE_WORDS = 5
 BANDS, BAND_ROWS = 32, 4
@@ -83,8 +84,8 @@ def _sketcher(k: int):
                         digests.append(None)
                         signatures.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-                names=["id", "n_shingles", "digest", "signature"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
+                names=["id", "text_hash", "n_shingles", "digest", "signature"],
             )
 
     return run
@@ -165,7 +166,8 @@ def near_duplicates(
     miss: float = MISS,
 ) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles``, ``component_id``
-    (the smallest id reachable over links, itself included) and ``kept``.
+    (the smallest id reachable over links, itself included), ``kept`` and
+    ``text_hash`` (xxhash64 of the text).
 
     Two documents are linked if ``whole * |A and B| >= part * |A or B|`` for
     their sets of distinct ``k``-word shingles (lower-cased ASCII).  At the
@@ -178,9 +180,10 @@ def near_duplicates(
     document that has an id, else null, and is kept only then.  Rows that
     repeat an id are judged by their own text.  Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = q(text_col).cast("string")
+    rows = docs.select(q(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     sketch = keep(
-        rows.mapInArrow(_sketcher(k), "id long, n_shingles long, digest binary, signature binary"), "sketch"
+        rows.mapInArrow(_sketcher(k), "id long, text_hash long, n_shingles long, digest binary, signature binary"), "sketch"
     )
     nodes = keep(
         sketch.where("digest is not null")
@@ -247,11 +250,29 @@ def near_duplicates(
         hubs = max(2, 2 * hubs)
 
     found = (
-        sketch.select("id", "n_shingles", "digest")
+        sketch.select("id", "text_hash", "n_shingles", "digest")
         .join(nodes.select("digest", "node"), "digest", "left")
         .join(labels, "node", "left")
     )
     component = F.coalesce("component", "node", "id")
     return found.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept")
+        F.col("id").alias(id_col),
+        "n_shingles",
+        component.alias("component_id"),
+        component.eqNullSafe(F.col("id")).alias("kept"),
+        "text_hash",
     )
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Rows of ``docs``, one per group of near duplicates: the smallest id's.
+
+    Decisions go back to rows by id and text, so rows that repeat an id with
+    another text have their own, and of rows that repeat both one stays.  Rows
+    without an id stay unless an equal document has one.  Columns pass through
+    whatever their names."""
+    judged = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("i"), F.col("text_hash").alias("t"))
+    text = q(text_col).cast("string")
+    rows = docs.select(F.struct("*").alias("row"), q(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"))
+    kept = rows.join(judged, F.expr("text_hash = t and id <=> i"), "left_semi").dropDuplicates(["text_hash", "id"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_minhash_near_dedup(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 #: Conversation -1 of the chat query: both texts hold the template's own marks.
@@ -46,7 +46,7 @@ def op2_chat_formatting(spark, sf_dir):
 
 
 def op3_substring_chains(spark, sf_dir):
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_byte_bpe(spark, sf_dir):
@@ -113,4 +113,30 @@ QUERIES = {
     "op10_site_lines": op10_site_lines,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_site_lines": """
+        WITH l AS (
+            SELECT doc_id, source,
+                   unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(len(string_split(text, chr(10))))) AS pos
+            FROM documents
+        ), b AS (
+            SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM l
+        ), boiler AS (
+            SELECT c.source, c.bare
+            FROM (SELECT source, bare, count(DISTINCT doc_id) AS n FROM b WHERE bare <> '' GROUP BY ALL) c
+            JOIN (SELECT source, count(*) AS total FROM documents GROUP BY ALL) t
+              ON c.source IS NOT DISTINCT FROM t.source
+            WHERE n >= 10 AND n > 0.1 * total
+        ), k AS (
+            SELECT b.*, boiler.bare IS NULL AS kept
+            FROM b LEFT JOIN boiler ON b.source IS NOT DISTINCT FROM boiler.source AND b.bare = boiler.bare
+        ), d AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT kept) AS n_dropped,
+                   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE kept), '') AS text
+            FROM k GROUP BY doc_id
+        )
+        SELECT o.doc_id, o.source, d.text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped
+        FROM documents o LEFT JOIN d USING (doc_id)
+    """,
+}

@@ -155,7 +155,8 @@ def _fitter(l2: float, steps: int):
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_ROWS, l2: float = L2, steps: int = STEPS) -> Model:
-    """Fit on ``labelled`` (columns id, text, label 0/1), at most ``max_rows``
+    """Without labelled rows of both classes the model is the classes' share
+    (a half without any); otherwise fit on ``labelled`` (columns id, text, label 0/1), at most ``max_rows``
     rows.  One task fits the model from the rows' buckets, which bounds its
     memory by ``max_rows`` times the number of buckets whatever the texts."""
     order = F.xxhash64("id")
@@ -163,6 +164,8 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS, l2: float = L2, steps:
     found = picked.select(F.col("label").cast("int"), "text").mapInArrow(_featuriser, "label int, features binary")
     one = found.repartition(1).sortWithinPartitions("label", F.xxhash64("features"))
     row = one.mapInArrow(_fitter(l2, steps), "weights binary, bias double").first()
+    if row is None:  # no labelled row at all
+        return fit([], np.empty(0))
     return Model(np.frombuffer(bytes(row["weights"]), "<f4"), float(row["bias"]))
 
 
