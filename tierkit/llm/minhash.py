@@ -4,13 +4,13 @@
    digest of that set, and a MinHash signature.
 2. Documents with the same set are one node, named by their smallest id.  A
    group of copies of any size is collapsed by a partial aggregate.
-3. Nodes that share a band of the signature are candidates.  A bucket is
-   never expanded into its pairs: each round a few members, its hubs, are
-   compared with the rest, found links merge components, hubs retire, and a
-   bucket leaves once its members are one component.  The number of hubs
-   doubles each round, so the loop ends after log2(largest bucket) rounds
-   even if nothing links, and every pair of a bucket that could still join
-   two components has been compared by then.
+3. Nodes that share a band of the signature are candidates.  A bucket is never
+   expanded into rows of pairs.  First every member is compared with the
+   bucket's smallest, its hub, and links merge components, which settles most
+   groups of copies.  In buckets that still span components, the members
+   outside the hub's component meet all members in blocks of bounded bytes;
+   a task compares the two blocks in arrays and emits only links that merge.
+   So every pair of a bucket that could join two components is compared.
 4. A candidate's signatures are compared batch by batch.  With ``m`` of ``n``
    values equal, the similarity's posterior (uniform prior) gives the chance
    that it reaches the threshold; below ``miss`` the pair is pruned.
@@ -39,6 +39,7 @@ HASHES = BANDS * BAND_ROWS
 BATCH = 32
 MISS = 1e-6
 _BLOCK = 1024
+BLOCK_BYTES = 16 << 20
 
 _RANDOM = (splitmix(7, 2 * HASHES) >> np.uint64(32)).astype(np.uint32)
 _MULTIPLY, _ADD = (_RANDOM[:HASHES] | np.uint32(1))[:, None], _RANDOM[HASHES:, None]
@@ -126,20 +127,25 @@ def _survivors(threshold: float, batch_size: int, miss: float):
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray, part: int, whole: int) -> bool:
+    """The exact test on two sorted sets."""
+    if whole * min(len(x), len(y)) < part * max(len(x), len(y)):
+        return False
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return whole * both >= part * (len(x) + len(y) - both)
+
+
 def _verifier(part: int, whole: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = (np.frombuffer(v.as_buffer(), dtype="<u8") for v in (x, y))
-                if whole * min(len(x), len(y)) < part * max(len(x), len(y)):
-                    continue
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                if whole * both >= part * (len(x) + len(y) - both):
-                    good.append(i)
+            good = [
+                i
+                for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3)))
+                if _similar(*(np.frombuffer(v.as_buffer(), dtype="<u8") for v in (x, y)), part, whole)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).take(pa.array(good, pa.int64())) for i in (0, 1)], names=["a", "b"]
             )
@@ -147,6 +153,59 @@ def _verifier(part: int, whole: int):
     return run
 
 
+def _find(parent: dict[int, int], x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = x = parent[parent[x]]
+    return x
+
+
+def _block_linker(part: int, whole: int, batch_size: int, miss: float):
+    """Links between two blocks of one bucket that merge components.
+
+    A pair that shares an earlier band too is left to that band's bucket."""
+    steps = least_matches(part / whole, batch_size, miss)
+
+    def read(table: pa.Table) -> tuple[list[int], list[int], np.ndarray, list[np.ndarray]]:
+        signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u4").reshape(-1, HASHES)
+        sets = [np.frombuffer(x, "<u8") for x in table["shingles"].to_pylist()]
+        return table["node"].to_pylist(), table["component"].to_pylist(), signatures, sets
+
+    def candidates(left: np.ndarray, right: np.ndarray, apart: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+        n, least = steps[0]
+        matches = (left[:, None, :n] == right[None, :, :n]).sum(axis=2)
+        i, j = np.nonzero((matches >= least) & apart)
+        matches, done = matches[i, j], n
+        for n, least in steps[1:]:
+            matches = matches + (left[i, done:n] == right[j, done:n]).sum(axis=1)
+            alive = matches >= least
+            i, j, matches, done = i[alive], j[alive], matches[alive], n
+        upto = band * BAND_ROWS
+        same = (left[i, :upto] == right[j, :upto]).reshape(len(i), band, BAND_ROWS).all(axis=2).any(axis=1)
+        return i[~same], j[~same]
+
+    def run(members: pa.Table, outside: pa.Table) -> pa.Table:
+        links = []
+        if len(members) and len(outside):
+            band = outside["band"][0].as_py()
+            nodes, of, right, sets = read(members)
+            others, other_of, left, other_sets = read(outside)
+            parent: dict[int, int] = {}
+            width = max(1, (1 << 24) // (len(nodes) * batch_size))
+            for at in range(0, len(others), width):
+                rows = slice(at, at + width)
+                apart = np.array(other_of[rows])[:, None] != np.array(of)[None, :]
+                for i, j in zip(*(x.tolist() for x in candidates(left[rows], right, apart, band))):
+                    x, y = _find(parent, other_of[at + i]), _find(parent, of[j])
+                    if x != y and _similar(other_sets[at + i], sets[j], part, whole):
+                        parent[max(x, y)] = min(x, y)
+                        links.append((others[at + i], nodes[j]))
+        return pa.table(
+            {"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())}
+        )
+
+    return run
+
+
 def _hold(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     """Pairs with one column of ``table`` for either side."""
     for side in ("a", "b"):
@@ -155,6 +214,14 @@ def _hold(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return pairs.select("a", "b", f"{column}_a", f"{column}_b")
 
 
+def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) with the components of linked nodes joined."""
+    named = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    roots = components(links.join(named, "a").join(named.toDF("b", "cb"), "b").select("ca", "cb")).toDF("component", "root")
+    merged = labels.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return keep(merged, "labels")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -192,62 +259,51 @@ def near_duplicates(
         .where("node is not null"),
         "nodes",
     )
-    buckets = nodes.select(
-        "node",
-        F.explode(
-            F.array(
-                *[
-                    F.xxhash64(F.lit(i), F.substring("signature", 4 * BAND_ROWS * i + 1, 4 * BAND_ROWS))
-                    for i in range(BANDS)
-                ]
-            )
-        ).alias("bucket"),
-    )
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
-    live = keep(buckets.join(shared.select("bucket"), "bucket"), "buckets")
+    keys = [
+        F.xxhash64(F.lit(i), F.substring("signature", 4 * BAND_ROWS * i + 1, 4 * BAND_ROWS)) for i in range(BANDS)
+    ]
+    buckets = nodes.select("node", F.posexplode(F.array(*keys)).alias("band", "bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
+    live = keep(buckets.join(shared.select("bucket", "hub"), "bucket"), "buckets")
     labels = keep(live.select("node", F.col("node").alias("component")).distinct(), "labels")
     wanted = labels.select(F.col("node").alias("id"))
-    sets = keep(rows.join(wanted, "id", "left_semi").mapInArrow(_setter(k), "node long, shingles binary"), "sets")
-    signatures = nodes.join(labels.select("node"), "node", "left_semi")
-
-    hubs = 0  # the smallest member alone, then it and about 2, 4, 8 ... others
-    while not live.isEmpty():
-        now = live.join(labels, "node")
-        stats = (
-            now.groupBy("bucket")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min("node").alias("first"),
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-            )
-            .where("low < high")
-        )
-        chance = F.pmod(F.xxhash64(F.col("node"), F.lit(hubs)), F.col("n")) < hubs
-        now = keep(
-            now.join(stats, "bucket").select("bucket", "node", "component", (chance | (F.col("node") == F.col("first"))).alias("hub")),
-            "round",
-        )
-        hub = now.where("hub").select("bucket", F.col("node").alias("h"), F.col("component").alias("hc"))
-        pairs = (
-            now.join(hub, "bucket")
-            .where("component <> hc and (not hub or node > h)")
-            .select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b"))
-            .distinct()
-        )
-        close = _hold(pairs, signatures, "signature").mapInArrow(
-            _survivors(part / whole, batch_size, miss), "a long, b long"
+    sets = rows.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(_setter(k), "node long, shingles binary")
+    sets = keep(sets.join(nodes.select("node", "signature"), "node"), "sets")
+
+    pairs = live.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    close = _hold(pairs, sets, "signature").mapInArrow(_survivors(part / whole, batch_size, miss), "a long, b long")
+    links = keep(_hold(close, sets, "shingles").mapInArrow(_verifier(part, whole), "a long, b long"), "links")
+    labels = _merge(labels, links)
+
+    of_hub = labels.select(F.col("node").alias("hub"), F.col("component").alias("major"))
+    members = live.where("node <> hub").join(labels, "node").join(of_hub, "hub")
+    members = members.withColumn("outside", F.col("component") != F.col("major")).select("bucket", "band", "node", "component", "outside")
+    members = members.join(sets.withColumn("bytes", F.octet_length("shingles") + 4 * HASHES + 64), "node")
+    sizes = (
+        members.groupBy("bucket")
+        .agg(
+            F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("v_blocks"),
+            F.ceil(F.sum(F.when(F.col("outside"), F.col("bytes"))) / BLOCK_BYTES).cast("int").alias("w_blocks"),
         )
-        links = keep(_hold(close, sets, "shingles").mapInArrow(_verifier(part, whole), "a long, b long"), "links")
-        named = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-        merged = links.join(named, "a").join(named.toDF("b", "cb"), "b").select("ca", "cb")
-        roots = components(merged).toDF("component", "root")
-        labels = keep(
-            labels.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")),
-            "labels",
-        )
-        live = now.where("not hub").select("node", "bucket")
-        hubs = max(2, 2 * hubs)
+        .where("w_blocks > 0")
+    )
+    open_ = keep(members.join(sizes, "bucket"), "open")
+    block = F.xxhash64("node")
+    every = open_.withColumn("v", F.pmod(block, F.col("v_blocks")).cast("int")).withColumn(
+        "w", F.explode(F.sequence(F.lit(0), F.col("w_blocks") - 1))
+    )
+    apart = open_.where("outside").withColumn("w", F.pmod(block, F.col("w_blocks")).cast("int")).withColumn(
+        "v", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1))
+    )
+    columns = ["bucket", "v", "w", "band", "node", "component", "signature", "shingles"]
+    linker = _block_linker(part, whole, batch_size, miss)
+    links = (
+        every.select(*columns)
+        .groupBy("bucket", "v", "w")
+        .cogroup(apart.select(*columns).groupBy("bucket", "v", "w"))
+        .applyInArrow(linker, "a long, b long")
+    )
+    labels = _merge(labels, keep(links, "links"))
 
     found = (
         sketch.select("id", "text_hash", "n_shingles", "digest")
