@@ -55,7 +55,7 @@ def main() -> None:
     keys = merge_keys(["l_orderkey", "l_linenumber"])
     section("Merge, broadcast path", "Target read as key columns only; source keys broadcast (measured); no target shuffle.",
             new_rows(src, tgt, keys))
-    section("Merge, salted shuffle path", "Hot source keys (bounded table, broadcast) salted; target keys repeated per salt before one shuffle.",
+    section("Merge, shuffled path", "Rows of hot source keys (bounded table, broadcast) decided map-side; target keys de-duplicated before the shuffle.",
             new_rows(src, tgt, keys, broadcast_max_bytes=0))
 
     events = table(spark, sf, "events")

@@ -148,3 +148,33 @@ def test_resolve_type_complex_names(spark):
     assert resolve_type("decimal(10,2)").simpleString() == "decimal(10,2)"
     assert resolve_type("array<string>").simpleString() == "array<string>"
     assert one(spark, strict_cast(F.lit("12.345"), "decimal(10,2)")) == __import__("decimal").Decimal("12.35")
+
+
+@pytest.mark.parametrize("n", [300, 20_000])
+def test_list_literal_of_any_length(spark, n):
+    items = [f"it's {i}" for i in range(n)] + [None, "x" * 1_000_000]
+    assert one(spark, list_literal(F.lit(repr(items)))) == items
+
+
+@pytest.mark.parametrize("text,expected", [("['A',]", ["A"]), ("[ 'A' , None , ]", ["A", None]), ("['\\u00e9\\n']", ["é\n"])])
+def test_list_literal_python_forms(spark, text, expected):
+    assert one(spark, list_literal(F.lit(text))) == expected
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["['A' 'B']", "[1, True]", "['\\U000e0001']", "['\\101']", "['\\a']", "['\\0']", "[['A']]", "['A',,]", "[,]", "['\\ud83d']", "['\\q']", "['a\nb']"],
+)
+def test_list_literal_refuses_what_it_does_not_decode(spark, text):
+    with pytest.raises(Exception, match="not a list of texts"):
+        one(spark, list_literal(F.lit(text)))
+
+
+def test_capture_time_of_a_zone_less_column_ignores_the_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2025, 3, 9, 2, 30),), (None,)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert [r["t"] for r in df.select(capture_time(F.col("ts")).alias("t")).collect()] == ["02:30:00", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -114,7 +114,7 @@ def test_merge_twice_equals_once(spark, scratch, target, source, limit):
 
 
 @pytest.mark.parametrize("hot_key", [7, None])
-def test_shuffled_merge_salts_a_hot_source_key(spark, scratch, capsys, hot_key):
+def test_shuffled_merge_keeps_hot_rows_in_place(spark, scratch, capsys, hot_key):
     from pyspark.sql import functions as F
 
     from tierkit.operators.merge import new_rows
@@ -135,7 +135,7 @@ def test_shuffled_merge_salts_a_hot_source_key(spark, scratch, capsys, hot_key):
     assert sum(1 for r in out.collect() if r["k"] == hot_key) == 1000
     out.explain()
     plan = capsys.readouterr().out
-    assert "__salt" in plan and "sequence(0" in plan
+    assert "__h0" in plan and "__m0" in plan and "Union" in plan
 
 
 def test_shuffled_merge_hot_key_present_in_target(spark, scratch):
@@ -219,3 +219,55 @@ def test_small_merges_write_few_files(spark, scratch):
     more = spark.range(200, 600, 1, 6).selectExpr("cast(id as int) as k", "'b' as v")
     merge_insert_only(spark, more, p, ["k"])
     assert files() == 2 and read_table(spark, p, KV).count() == 600
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_equal_rows_of_a_hot_key_do_not_meet_in_one_task(spark, scratch, known):
+    from pyspark.sql import functions as F
+
+    from tierkit.operators.merge import new_rows
+
+    p = scratch("merge")
+    write_table(spark.createDataFrame([(-1 if known else -2, "t"), (5, "t")], KV), p)
+    src = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).cast("int").alias("k"), F.lit("s").alias("v")
+    )
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = new_rows(src, read_table(spark, p, KV), merge_keys(["k"]), broadcast_max_bytes=0)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert sum(sizes) == (19_999 if known else 39_999)
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes) + 1
+
+
+def test_merge_checks_the_files_schema(spark, scratch):
+    p = scratch("merge")
+    write_table(spark.createDataFrame([(1, "a")], KV), p)
+    for bad in ("k int", "k int, v string, x int", "id int, v string", "k int, v int", "k long, v string"):
+        for schema in (None, spark.createDataFrame([], bad).schema):
+            with pytest.raises(ValueError, match="differ"):
+                merge_insert_only(spark, spark.createDataFrame([], bad), p, [bad.split()[0]], schema=schema)
+    assert table_rows(spark, p) == [(1, "a")]
+    merge_insert_only(spark, spark.createDataFrame([("b", 2)], "v string, k int"), p, ["k"])
+    assert table_rows(spark, p) == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_other_terms_besides_the_equality(spark, scratch, limit):
+    p = scratch("merge")
+    write_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], KV), p)
+    src = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d")], KV)
+    merge_insert_only(spark, src, p, "target.k = source.k AND target.v = 'a'", broadcast_max_bytes=limit)
+    assert table_rows(spark, p) == [(1, "a"), (2, "b"), (2, "x"), (3, "c"), (4, "d")]
+
+
+def test_merge_keeps_the_sources_parallelism(spark, scratch):
+    p = scratch("merge")
+    seen = spark.sparkContext.accumulator(0)
+    src = spark.range(0, 4000, 1, 40).selectExpr("cast(id as int) as k", "cast(id as string) as v")
+    tasks = src.rdd.mapPartitions(lambda rows: (seen.add(1), rows)[1]).toDF(KV)
+    merge_insert_only(spark, tasks, p, ["k"])
+    assert seen.value == 40 and read_table(spark, p, KV).count() == 4000

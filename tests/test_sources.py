@@ -4,6 +4,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tierkit.sources.tables import read_table, reads_from, write_table
+from pyspark.sql import functions as F
+
 from conftest import write_text
 from tierkit.sources import TableNotFound, ingest_envelope, read_table, table_exists, write_envelopes, write_table
 
@@ -119,15 +122,33 @@ def test_partitioned_write_requires_columns(spark, scratch):
         write_table(spark.range(3), scratch("p"), partition_cols="nope")
 
 
-def test_under_matches_absolute_and_relative_targets():
-    from tierkit.sources.tables import _under
-
-    f = "file:///data/lake/silver/stops/part-0.parquet"
-    assert _under(f, "/data/lake/silver/stops")
-    assert _under(f, "file:/data/lake/silver/stops/")
-    assert not _under(f, "/data/lake/silver/stop")
-    assert _under(f, "lake/silver/stops")
-    assert not _under(f, "silver/stop")
+@pytest.mark.parametrize("name", ["plain", "with space", "per%20cent", "50%"])
+def test_overwrite_of_an_input_is_refused(spark, scratch, name):
+    path = f"{scratch('guard')}/{name}"
+    write_table(spark.range(10).toDF("k"), path)
+    read = read_table(spark, path, "k long")
+    cached = read_table(spark, path, "k long").cache()
+    assert cached.count() == 10
+    joined = spark.range(3).join(read, F.col("id") == F.col("k"))
+    nested = spark.range(3).where(F.col("id").isin([1]))
+    assert not reads_from(nested, path)
+    for df in (read, cached, joined, cached.where("k > 3")):
+        with pytest.raises(ValueError, match="refusing"):
+            write_table(df, path)
+    cached.unpersist()
+    assert read_table(spark, path, "k long").count() == 10
+    write_table(spark.range(4).toDF("k"), path)
+    assert read_table(spark, path, "k long").count() == 4
+
+
+def test_batch_write_into_a_stream_table_is_refused(spark, scratch):
+    source, target = scratch("stream-in"), scratch("stream-out")
+    write_table(spark.range(1).toDF("k"), source)
+    query = spark.readStream.schema("k long").parquet(source).writeStream.format("parquet")
+    query.option("checkpointLocation", scratch("ck")).trigger(availableNow=True).start(target).awaitTermination()
+    with pytest.raises(ValueError, match="file sink"):
+        write_table(spark.range(1).toDF("k"), target, mode="append")
+    assert read_table(spark, target, "k long").count() == 1
 
 
 def test_ingest_with_inferred_schema(spark, scratch):

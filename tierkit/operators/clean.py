@@ -17,7 +17,7 @@ FILE_ORDER = ("_metadata.file_modification_time", "_metadata.file_path", "_metad
 
 
 def impute(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
-    """Replace nulls in the mapped columns; names not present are ignored.
+    """Replace nulls, and NaN in float columns; names not present are ignored.
 
     The fill value is cast strictly to the column's type, so a text fill for a
     numeric column fails at planning instead of being skipped.
@@ -26,7 +26,13 @@ def impute(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
     if not present:
         return df
     fills = {c: strict_cast(F.lit(v), df.schema[c].dataType, nulls="keep", label=f"fill value for {c}") for c, v in present.items()}
-    return df.withColumns({c: F.coalesce(q(c), fill) for c, fill in fills.items()})
+
+
+    def absent(c: str) -> Column:
+        floating = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+        return q(c).isNull() | F.isnan(q(c)) if floating else q(c).isNull()
+
+    return df.withColumns({c: F.when(absent(c), fill).otherwise(q(c)) for c, fill in fills.items()})
 
 
 def cast_columns(df: DataFrame, mapping: Mapping[str, str], nulls: str = "auto") -> DataFrame:

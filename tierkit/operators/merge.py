@@ -10,25 +10,26 @@ a Parquet append:
   run; ``<=>`` treats nulls as equal;
 * an absent target is created from the whole source (no de-duplication).
 
-Plan.  Only the key columns of the target are read (Catalyst prunes the
-rest).  When the source keys are provably small — their bytes are summed in
-one scan before anything is broadcast — the target is never shuffled: its
-keys are semi-joined against the broadcast source keys, the hits (no more
-than the source keys) are de-duplicated and broadcast back into the anti
-join.  Otherwise the target keys are de-duplicated map-side (a key holding a
-third of the table collapses before the shuffle) and the anti join shuffles
-both sides; source keys heavier than an average task are salted over
-several tasks (see ``_salted_anti_join``).
+Plan.  The source is evaluated once and kept for the run.  Only the key columns
+of the target are read (Catalyst prunes the rest).  When the bytes of the source
+keys, summed before anything is broadcast, are within the session's bound, the
+target is never shuffled: its keys are semi-joined against the broadcast source
+keys, the hits (no more than the source keys) are de-duplicated and broadcast
+back into the anti join.  Otherwise the target keys are de-duplicated map-side
+and the anti join shuffles both sides, but for the source's hot keys: there are
+at most as many as shuffle partitions, so their rows are decided map-side by a
+broadcast of those that the target holds.  Either way an empty insert set writes
+nothing, and rows are written in files of the advisory partition size.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +37,6 @@ from pyspark.sql import types as T
 from tierkit.operators._names import q, quote
 from tierkit.sources.tables import TableNotFound, read_table, write_table
 
-# Rows per output file of a merge's write (about 100–500 MB of Parquet for
-# typical rows).
-ROWS_PER_FILE = 1_000_000
-
 # The aliases a merge predicate uses for the two sides.
 SOURCE_ALIAS = "source"
 TARGET_ALIAS = "target"
@@ -60,14 +57,22 @@ def _unquote(name: str) -> str:
     return name[1:-1].replace("``", "`") if name.startswith("`") else name
 
 
-def merge_keys(predicate: str | Sequence[str] | Sequence[tuple[str, str]]) -> list[KeyPair]:
-    """Key pairs of a merge predicate.
+def _has_or(text: str) -> bool:
+    """An ``OR`` outside quotes and parentheses."""
+    bare = re.sub(r"'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`", " ", text)
+    while (inner := re.sub(r"\([^()]*\)", " ", bare)) != bare:
+        bare = inner
+    return re.search(r"\bOR\b", bare, re.IGNORECASE) is not None
+
+
+def merge_predicate(predicate: str | Sequence[str] | Sequence[tuple[str, str]]) -> tuple[list[KeyPair], str | None]:
+    """Key pairs of a merge predicate, and the text of its other terms.
 
     Accepts a predicate text made of ``target.a = source.b`` (or ``<=>``)
-    terms joined by ``AND``, a list of column names present on both sides, or
-    a list of ``(target, source)`` name pairs.  Anything else is refused: a
-    condition without equality keys would compare every source row with
-    every target row.
+    terms joined by ``AND`` with any further terms, a list of column names
+    present on both sides, or a list of ``(target, source)`` name pairs.  A
+    condition without an equality, or with ``OR`` between its terms, is
+    refused: it would compare every source row with every target row.
     """
     if not isinstance(predicate, str):
         pairs = []
@@ -76,20 +81,30 @@ def merge_keys(predicate: str | Sequence[str] | Sequence[tuple[str, str]]) -> li
             pairs.append(KeyPair(t, s, False))
         if not pairs:
             raise ValueError("a merge needs at least one key")
-        return pairs
-    pairs = []
+        return pairs, None
+    if _has_or(predicate):
+        raise ValueError(f"unsupported merge predicate {predicate!r}: terms must be joined by AND")
+    pairs, rest = [], []
     for term in re.split(r"\s+AND\s+", predicate.strip(), flags=re.IGNORECASE):
         m = _CONJUNCT.match(term.strip())
-        if not m:
-            raise ValueError(
-                f"unsupported merge predicate term {term!r}: use equalities "
-                f"'{TARGET_ALIAS}.col = {SOURCE_ALIAS}.col' (or <=>) joined by AND"
-            )
-        side1, col1, op, side2, col2 = m.groups()
-        sides = {side1.lower(): _unquote(col1), side2.lower(): _unquote(col2)}
-        if set(sides) != {SOURCE_ALIAS, TARGET_ALIAS}:
-            raise ValueError(f"merge predicate term {term!r} must compare {TARGET_ALIAS} with {SOURCE_ALIAS}")
-        pairs.append(KeyPair(sides[TARGET_ALIAS], sides[SOURCE_ALIAS], op == "<=>"))
+        sides = {m[1].lower(): _unquote(m[2]), m[4].lower(): _unquote(m[5])} if m else {}
+        if set(sides) == {SOURCE_ALIAS, TARGET_ALIAS}:
+            pairs.append(KeyPair(sides[TARGET_ALIAS], sides[SOURCE_ALIAS], m[3] == "<=>"))
+        else:
+            rest.append(term)
+    if not pairs:
+        raise ValueError(
+            f"unsupported merge predicate {predicate!r}: it needs an equality "
+            f"'{TARGET_ALIAS}.col = {SOURCE_ALIAS}.col' (or <=>)"
+        )
+    return pairs, " AND ".join(rest) or None
+
+
+def merge_keys(predicate: str | Sequence[str] | Sequence[tuple[str, str]]) -> list[KeyPair]:
+    """Key pairs of a predicate of equalities alone (see ``merge_predicate``)."""
+    pairs, rest = merge_predicate(predicate)
+    if rest is not None:
+        raise ValueError(f"unsupported merge predicate term {rest!r}: only equalities can stand here")
     return pairs
 
 
@@ -140,15 +155,20 @@ def _all(conds: list[Column]) -> Column:
     return out
 
 
+# Fixed value: about what a hashed relation adds to a row's values (row header,
+# pointer, slot of the table), so the sum bounds the broadcast, not the values.
+ROW_BYTES = 40
+
+
 def source_key_stats(source: DataFrame, keys: Sequence[KeyPair]) -> tuple[int | None, int]:
     """(bytes of the source's key columns, rows) in one scan, no shuffle.
 
-    The bytes are an upper bound on a broadcast of the keys; ``None`` if a
-    key type has no known width.
+    The bytes are those of the values and, per row, of the row that a broadcast
+    relation keeps (``ROW_BYTES``); ``None`` if a key type has no known width.
     """
     widths = [_width(q(k.source), source.schema[k.source].dataType) for k in keys]
     known = all(w is not None for w in widths)
-    width = sum(widths) if known else F.lit(0)
+    width = sum(widths, F.lit(ROW_BYTES)) if known else F.lit(0)
     row = source.select(width.alias("w")).agg(
         F.coalesce(F.sum("w"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")
     ).first()
@@ -160,59 +180,34 @@ def _shuffle_partitions(spark: SparkSession) -> int:
     return int(raw) if raw.isdigit() and int(raw) > 0 else 200
 
 
-def _hashable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType) or dtype.typeName() == "variant":
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _hashable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_hashable(f.dataType) for f in dtype.fields)
-    return True
-
-
-def _salted_anti_join(
+def _split_anti_join(
     source: DataFrame, t_keys: DataFrame, keys: Sequence[KeyPair], total_rows: int, partitions: int
 ) -> DataFrame:
-    """Shuffled anti join that splits hot source keys over several tasks.
+    """Shuffled anti join whose hot source keys never reach the shuffle.
 
     A key is hot when it has more rows than an average task should hold
     (``total_rows / partitions``); there are at most ``partitions`` such keys,
-    so the hot-key table is small by construction and is broadcast.  Rows of
-    a hot key get a salt in ``[0, n)`` with ``n = ceil(rows / limit)``, derived
-    from the row's content and input partition (the same on a retried task);
-    the target keys of hot keys are repeated once per salt *before* their
-    map-side de-duplication, so the one target shuffle lines up with the join.
+    so the table of them, and of those that the target holds, is small by
+    construction and is broadcast.  Their rows are kept or dropped where they
+    are read; all other rows take the shuffled join.
     """
     limit = max(1, total_rows // partitions)
     hot = (
         source.groupBy(*[q(k.source).alias(f"__h{i}") for i, k in enumerate(keys)])
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") > limit)
-        .select(*[f"__h{i}" for i in range(len(keys))], F.ceil(F.col("__n") / limit).cast("int").alias("__salts"))
+        .drop("__n")
     )
-    hot_b = F.broadcast(hot)
-    is_hot_src = _all([source[quote(k.source)].eqNullSafe(hot_b[f"__h{i}"]) for i, k in enumerate(keys)])
-    content = [F.spark_partition_id()] + [q(f.name) for f in source.schema.fields if _hashable(f.dataType)]
-    salted = (
-        source.join(hot_b, is_hot_src, "left_outer")
-        .withColumn(
-            "__salt",
-            F.when(F.col("__salts").isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64(*content), F.col("__salts").cast("bigint")))
-            .cast("int"),
-        )
-        .drop(*[f"__h{i}" for i in range(len(keys))], "__salts")
-    )
-    is_hot_tgt = _all([t_keys[f"__t{i}"].eqNullSafe(hot_b[f"__h{i}"]) for i in range(len(keys))])
-    salts = F.when(F.col("__salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("__salts") - 1))
-    t_salted = (
-        t_keys.join(hot_b, is_hot_tgt, "left_outer")
-        .select(*[f"__t{i}" for i in range(len(keys))], F.explode(salts).alias("__tsalt"))
-        .distinct()
-    )
-    on = _all([_eq(salted[quote(k.source)], t_salted[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-    on = on & (salted["__salt"] == t_salted["__tsalt"])
-    return salted.join(t_salted, on, "left_anti").drop("__salt")
+    held = _all([_eq(t_keys[f"__t{i}"], hot[f"__h{i}"], k.null_safe) for i, k in enumerate(keys)])
+    matched = t_keys.join(F.broadcast(hot), held, "left_semi").distinct()
+    matched = matched.toDF(*[f"__m{i}" for i in range(len(keys))])
+    is_hot = _all([source[quote(k.source)].eqNullSafe(hot[f"__h{i}"]) for i, k in enumerate(keys)])
+    in_target = _all([_eq(source[quote(k.source)], matched[f"__m{i}"], k.null_safe) for i, k in enumerate(keys)])
+    in_place = source.join(F.broadcast(hot), is_hot, "left_semi").join(F.broadcast(matched), in_target, "left_anti")
+    cold = source.join(F.broadcast(hot), is_hot, "left_anti")
+    others = t_keys.distinct()
+    on = _all([_eq(cold[quote(k.source)], others[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
+    return in_place.unionByName(cold.join(others, on, "left_anti"))
 
 
 def _plan_new_rows(
@@ -220,28 +215,37 @@ def _plan_new_rows(
     target: DataFrame,
     keys: Sequence[KeyPair],
     broadcast_max_bytes: int | None,
-    keep_hits: bool,
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """The anti-join plan, (broadcast path, ``keep_hits``) the small persisted
-    frame of matched target keys the caller must unpersist, and the number of
-    source rows (an upper bound on the rows it yields)."""
+    rest: str | None = None,
+) -> tuple[DataFrame, bool]:
+    """The anti-join plan, and whether it runs in the source's own tasks."""
     spark = source.sparkSession
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
     t_keys = target.select(*[q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)])
     n_bytes, n_rows = source_key_stats(source, keys)
-
-    if limit > 0 and n_bytes is not None and n_bytes <= limit:
+    small = limit > 0 and n_bytes is not None and n_bytes <= limit
+    s_keys = source.select(*[q(k.source).alias(f"__s{i}") for i, k in enumerate(keys)])
+
+    if rest is not None:
+        # Other terms may read any target column, so candidate rows are joined
+        # whole; a small source first cuts the target to rows of its keys.
+        if small:
+            same = _all([_eq(q(k.target), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
+            target = target.join(F.broadcast(s_keys), same, "left_semi")
+        left, right = source.alias(SOURCE_ALIAS), target.alias(TARGET_ALIAS)
+        equal = [
+            _eq(F.col(f"{TARGET_ALIAS}.{quote(k.target)}"), F.col(f"{SOURCE_ALIAS}.{quote(k.source)}"), k.null_safe) for k in keys
+        ]
+        return left.join(right, _all(equal) & F.expr(rest), "left_anti"), False
+
+    if small:
         # Broadcast the (measured) source keys; the target is only scanned.
-        s_keys = source.select(*[q(k.source).alias(f"__s{i}") for i, k in enumerate(keys)])
         semi = _all([_eq(F.col(f"__t{i}"), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
         # Target keys that occur in the source: no more than the source keys.
         hits = t_keys.join(F.broadcast(s_keys), semi, "left_semi").distinct()
-        if keep_hits:
-            hits = hits.persist(StorageLevel.MEMORY_AND_DISK)
         anti = _all([_eq(source[quote(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-        return source.join(F.broadcast(hits), anti, "left_anti"), (hits if keep_hits else None), n_rows
+        return source.join(F.broadcast(hits), anti, "left_anti"), True
 
-    return _salted_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark)), None, n_rows
+    return _split_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark)), False
 
 
 def new_rows(
@@ -251,12 +255,7 @@ def new_rows(
     broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of ``source`` that no ``target`` row matches on ``keys``."""
-    return _plan_new_rows(source, target, keys, broadcast_max_bytes, keep_hits=False)[0]
-
-
-def _few_files(df: DataFrame, rows: int, rows_per_file: int) -> DataFrame:
-    """At most one output file per ``rows_per_file`` rows (no shuffle)."""
-    return df.coalesce(max(1, math.ceil(rows / rows_per_file)))
+    return _plan_new_rows(source, target, keys, broadcast_max_bytes)[0]
 
 
 def _check_schema(source: DataFrame, target_schema: T.StructType) -> DataFrame:
@@ -277,6 +276,33 @@ def _check_schema(source: DataFrame, target_schema: T.StructType) -> DataFrame:
     return source.select(*[q(c) for c in target_schema.names])
 
 
+def _check_stored(spark: SparkSession, path: str, declared: T.StructType, parts: Sequence[str]) -> bool:
+    """True if a table stands at ``path``; its files' schema must agree with
+    the declared one (partition values carry no type of their own)."""
+    try:
+        stored = read_table(spark, path, None).schema
+    except TableNotFound:
+        return False
+    except AnalysisException as err:
+        if err.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a folder without files
+            raise
+        return True
+    s_names, t_names = set(declared.names), set(stored.names)
+    if s_names != t_names:
+        raise ValueError(
+            f"source and target columns differ: only in source {sorted(s_names - t_names)}, "
+            f"only in target {sorted(t_names - s_names)}"
+        )
+    wrong = [
+        f"{f.name}: {f.dataType.simpleString()} vs {stored[f.name].dataType.simpleString()}"
+        for f in declared.fields
+        if f.name not in parts and f.dataType.simpleString() != stored[f.name].dataType.simpleString()
+    ]
+    if wrong:
+        raise ValueError(f"source and target column types differ: {wrong}")
+    return True
+
+
 def merge_insert_only(
     spark: SparkSession,
     new_df: DataFrame,
@@ -285,50 +311,39 @@ def merge_insert_only(
     schema: T.StructType | None = None,
     partition_cols: str | Sequence[str] | None = None,
     broadcast_max_bytes: int | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
+    compact: bool = True,
 ) -> None:
     """Insert the rows of ``new_df`` that match no row of the table at ``path``.
 
     ``schema`` is the table's declared schema (default: ``new_df``'s);
-    columns are matched by name and must agree in name and type.  An absent
-    table is created from all of ``new_df``, partitioned by
-    ``partition_cols``; appends must pass the same partition columns.
-    Parquet appends are not transactional: one writer per table.  When the
-    source is small (broadcast path) and on create, an unpartitioned write is
-    packed into about one file per ``rows_per_file`` rows, so frequent small
-    merges do not leave a file per input partition.
+    columns are matched by name and must agree in name and type with each
+    other and with the table's files.  An absent table is created from all of
+    ``new_df``, partitioned by ``partition_cols``; appends must pass the same
+    partition columns.  Parquet appends are not transactional: one writer per
+    table.  ``compact=False`` keeps the source's row order in the files (a
+    rebalanced write does not), for tables whose stored order counts.
     """
-    keys = merge_keys(predicate)
+    keys, rest = merge_predicate(predicate)
     missing = [k.source for k in keys if k.source not in new_df.columns]
     if missing:
         raise KeyError(f"merge keys not in the source: {missing}")
     table_schema = schema if schema is not None else new_df.schema
-    try:
-        target = read_table(spark, path, table_schema)
-    except TableNotFound:
-        created = _check_schema(new_df, table_schema) if schema is not None else new_df
-        if not partition_cols:
-            created = _few_files(created, created.count(), rows_per_file)
-        write_table(created, path, mode="errorifexists", partition_cols=partition_cols)
+    source = _check_schema(new_df, table_schema) if schema is not None else new_df
+    parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols or ())
+    if not _check_stored(spark, path, table_schema, parts):
+        write_table(source, path, mode="errorifexists", partition_cols=parts, compact=compact)
         return
+    target = read_table(spark, path, table_schema)
     missing = [k.target for k in keys if k.target not in target.columns]
     if missing:
         raise KeyError(f"merge keys not in the target: {missing}")
-    source = _check_schema(new_df, target.schema)
-    inserts, hits, bound = _plan_new_rows(source, target, keys, broadcast_max_bytes, keep_hits=True)
+    kept = [source.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        # Broadcast path: with the matched keys kept, an empty insert set is
-        # found by a scan of the source alone — skip the write, which would
-        # otherwise add an empty file on every run with nothing new.
-        if hits is not None and inserts.isEmpty():
-            return
-        if hits is not None and not partition_cols:
-            # Broadcast path: the join runs in the source's scan, and the
-            # inserted rows are bounded by the source rows, so pack them into
-            # few files.  (The shuffled path keeps its reducers: coalescing
-            # them would also squeeze the target keys into few tasks.)
-            inserts = _few_files(inserts, bound, rows_per_file)
-        write_table(inserts, path, mode="append", partition_cols=partition_cols)
+        inserts, in_place = _plan_new_rows(source, target, keys, broadcast_max_bytes, rest)
+        if not in_place:  # else looking for a first row and writing are two scans of the kept source
+            kept.append(inserts.persist(StorageLevel.MEMORY_AND_DISK))
+        if not inserts.isEmpty():
+            write_table(inserts, path, mode="append", partition_cols=parts, compact=compact)
     finally:
-        if hits is not None:
-            hits.unpersist()
+        for df in reversed(kept):
+            df.unpersist()

@@ -11,6 +11,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 from collections.abc import Callable
+from types import SimpleNamespace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -220,8 +221,12 @@ def q_partitioned_write(spark, sf_dir):
     stamped = _hour_stamp(table(spark, sf_dir, "events"))
     path = scratch_path(spark, "partitioned")
     write_table(stamped, path, partition_cols=["fecha_consulta", "hora_consulta"])
-    back = read_table(spark, path, _schema(stamped))
-    return back.where(F.col("hora_consulta") == "23:00:00")
+    return read_table(spark, path, _schema(stamped))
+
+
+def q_partitioned_read(spark, sf_dir):
+    """One hour of the partitioned table: only its folders are read."""
+    return q_partitioned_write(spark, sf_dir).where(F.col("hora_consulta") == "23:00:00")
 
 
 # ---- merges --------------------------------------------------------------------------
@@ -268,7 +273,7 @@ def q_merge_composite_shuffled(spark, sf_dir):
 
 def q_merge_hot_key(spark, sf_dir):
     """Shuffled merge where one source key holds half of the rows (all open
-    line items share key -1): the hot key is salted over several tasks."""
+    line items share key -1): the hot key's rows are decided where they are read."""
     orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "merge-hot")
     write_table(orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v")), path)
@@ -278,6 +283,34 @@ def q_merge_hot_key(spark, sf_dir):
     return read_table(spark, path, "k bigint, v string")
 
 
+def _residual(spark, sf_dir, broadcast_max_bytes):
+    customer = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "merge-residual")
+    write_table(customer.where(F.col("c_nationkey") < 15), path)
+    changed = customer.withColumn("c_acctbal", F.col("c_acctbal") + F.when(F.col("c_custkey") % 2 == 0, 1).otherwise(-1))
+    predicate = "target.c_custkey = source.c_custkey AND target.c_acctbal BETWEEN source.c_acctbal AND source.c_acctbal + 5"
+    merge_insert_only(spark, changed, path, predicate, schema=_schema(customer), broadcast_max_bytes=broadcast_max_bytes)
+    return read_table(spark, path, _schema(customer))
+
+
+def q_merge_residual(spark, sf_dir):
+    """A predicate with a term besides the equality, source keys broadcast."""
+    return _residual(spark, sf_dir, None)
+
+
+def q_merge_residual_shuffled(spark, sf_dir):
+    return _residual(spark, sf_dir, 0)
+
+
+def q_merge_column_order(spark, sf_dir):
+    """Columns are matched by name, checked against the table's files."""
+    supplier = table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "merge-order")
+    write_table(supplier.where(F.col("s_nationkey") < 12), path)
+    merge_insert_only(spark, supplier.select(*reversed(supplier.columns)), path, ["s_suppkey"])
+    return read_table(spark, path, _schema(supplier))
+
+
 def q_merge_null_dup_keys(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     keyed = nation.select(F.nullif(F.col("n_regionkey"), F.lit(0)).alias("k"), "n_name", "n_regionkey")
@@ -318,6 +351,13 @@ def q_impute_nulls(spark, sf_dir):
     return impute(with_nulls, {"event_type": "Null", "absent": "x"})
 
 
+def q_impute_nan(spark, sf_dir):
+    """NaN counts as absent in float columns, as null does."""
+    events = table(spark, sf_dir, "events")
+    value = F.when(F.col("value") < 0, F.lit(float("nan"))).when(F.col("event_type") != "error", F.col("value"))
+    return impute(events.select("event_id", value.alias("value")), {"value": 0.5})
+
+
 def q_cast_narrow(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     texts = part.select(
@@ -374,6 +414,19 @@ def q_parse_list(spark, sf_dir):
     )
 
 
+def q_parse_list_long(spark, sf_dir):
+    """Long lists: all order keys of each customer, all keys of all orders of a
+    status (thousands of items), and one item of all nations' names, repeated."""
+    orders, nation = table(spark, sf_dir, "orders"), table(spark, sf_dir, "nation")
+    keys = F.array_sort(F.collect_list("o_orderkey")).cast("array<string>")
+    texts = orders.groupBy(F.col("o_custkey").cast("string").alias("k")).agg(_list_text(keys).alias("items"))
+    texts = texts.unionByName(orders.groupBy(F.col("o_orderstatus").alias("k")).agg(_list_text(keys).alias("items")))
+    whole = F.repeat(F.array_join(F.array_sort(F.collect_list("n_name")), ""), 100)
+    texts = texts.unionByName(nation.agg(_list_text(F.array(whole)).alias("items")).withColumn("k", F.lit("all")))
+    parsed = parse_list_literal(texts, "items")
+    return parsed.select("k", F.size("items").cast("bigint").alias("n_items"), F.md5(F.array_join("items", "|")).alias("items_md5"))
+
+
 def q_explode_list(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("word"))
     return explode_columns(part, ["p_partkey", "word"], ["word"])
@@ -424,7 +477,9 @@ def _stops_lake(spark, sf_dir, label):
 
 def q_bronze_dim(spark, sf_dir):
     stops, lake = _stops_lake(spark, sf_dir, "bronze-dim")
-    return read_table(spark, lake.bronze(stops.name), bronze_dimension_schema(stops)).select("StopID", "Name", "Lon", "Lat")
+    return read_table(spark, lake.bronze(stops.name), bronze_dimension_schema(stops)).withColumn(
+        "Routes", F.array_join("Routes", "|")
+    )
 
 
 def q_silver_dim(spark, sf_dir):
@@ -441,6 +496,19 @@ def q_silver_child(spark, sf_dir):
     return read_table(spark, lake.silver_child(stops.name, stops.list_col), silver_child_schema(stops))
 
 
+def q_silver_child_rebuilt(spark, sf_dir):
+    """The parent table is there, its child table is not: the child comes out whole."""
+    stops, lake = _stops_lake(spark, sf_dir, "silver-child")
+    silver_dimension(spark, stops, lake)
+    other = LakePaths(scratch_path(spark, "silver-lost"))
+    schema = silver_dimension_schema(stops)
+    write_table(read_table(spark, lake.silver(stops.name), schema), other.silver(stops.name))
+    # The raw table as it stands, the parent copied, no child.
+    lost = SimpleNamespace(bronze=lake.bronze, silver=other.silver, silver_child=other.silver_child)
+    silver_dimension(spark, stops, lost)
+    return read_table(spark, other.silver_child(stops.name, stops.list_col), silver_child_schema(stops))
+
+
 def _positions_lake(spark, sf_dir, label):
     _, positions = transit_feeds()
     lake = LakePaths(scratch_path(spark, label))
@@ -451,16 +519,14 @@ def _positions_lake(spark, sf_dir, label):
 
 def q_bronze_fact(spark, sf_dir):
     positions, lake = _positions_lake(spark, sf_dir, "bronze-fact")
-    back = read_table(spark, lake.bronze(positions.name), bronze_fact_schema(positions))
-    return back.select("VehicleID", "TripID", "DateTime", "BlockNumber", "fecha_consulta", "hora_consulta")
+    return read_table(spark, lake.bronze(positions.name), bronze_fact_schema(positions))
 
 
 def q_silver_fact(spark, sf_dir):
     positions, lake = _positions_lake(spark, sf_dir, "silver-fact")
     feed = _ordered(positions)
     silver_fact(spark, feed, lake, CAPTURE)
-    back = read_table(spark, lake.silver(positions.name), silver_fact_schema(positions))
-    return back.select("VehicleID", "DateTime", "TripID", "BlockNumber", "Deviation", "fecha_consulta", "hora_consulta")
+    return read_table(spark, lake.silver(positions.name), silver_fact_schema(positions))
 
 
 def q_fact_history(spark, sf_dir):
@@ -494,15 +560,25 @@ def q_full_run(spark, sf_dir):
         "silver_positions": silver_fact_schema(positions),
         "silver_stops_Routes": silver_child_schema(stops),
     }
-    counts = [
-        read_table(spark, tables[name], schemas[name]).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows"
+    columns = {
+        "bronze_stops": ("StopID", "Name", "Lon"),
+        "bronze_positions": ("TripID", "BlockNumber", "Deviation"),
+        "silver_stops": ("StopID", "Stop_Name", "Lon"),
+        "silver_positions": ("VehicleID", "TripID", "Deviation"),
+        "silver_stops_Routes": ("StopID", "Routes", None),
+    }
+    parts = [
+        read_table(spark, tables[name], schemas[name]).select(
+            F.lit(name).alias("table_name"),
+            F.col(k).cast("string").alias("k"),
+            F.col(v).cast("string").alias("v"),
+            (F.col(x) if x else F.lit(None)).cast("double").alias("x"),
         )
-        for name in schemas
+        for name, (k, v, x) in columns.items()
     ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
@@ -541,8 +617,7 @@ def q_stream_fact(spark, sf_dir):
     write_envelopes(position_records(events.where(F.col("event_type") != "view")), f"{landing}/wave=2", positions.data_field)
     run(LATER)
     run(dt.datetime(2025, 1, 2, 0, 30, 0))
-    back = read_table(spark, target, bronze_fact_schema(positions))
-    return back.select("VehicleID", "TripID", "BlockNumber", "fecha_consulta", "hora_consulta")
+    return read_table(spark, target, bronze_fact_schema(positions))
 
 
 def q_stream_dim(spark, sf_dir):
@@ -572,6 +647,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_ignore": q_write_ignore,
     "write_error": q_write_error,
     "partitioned_write": q_partitioned_write,
+    "partitioned_read": q_partitioned_read,
+    "merge_residual": q_merge_residual,
+    "merge_residual_shuffled": q_merge_residual_shuffled,
+    "merge_column_order": q_merge_column_order,
+    "impute_nan": q_impute_nan,
+    "parse_list_long": q_parse_list_long,
+    "silver_child_rebuilt": q_silver_child_rebuilt,
     "merge_single_key": q_merge_single_key,
     "merge_composite_key": q_merge_composite_key,
     "merge_composite_shuffled": q_merge_composite_shuffled,
@@ -606,6 +688,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dim": q_stream_dim,
 }
 
+_RESIDUAL = (
+    "WITH t AS (SELECT * FROM customer WHERE c_nationkey < 15), "
+    "s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE -1 END AS c_acctbal, "
+    "c_mktsegment FROM customer) "
+    "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t "
+    "WHERE t.c_custkey = s.c_custkey AND t.c_acctbal BETWEEN s.c_acctbal AND s.c_acctbal + 5)"
+)
+_RAW_POSITION = (
+    "CAST(user_id AS VARCHAR) AS VehicleID, value / 100.0 AS Lat, -value / 100.0 AS Lon, value AS Deviation, "
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS DateTime, CAST(event_id AS VARCHAR) AS TripID, event_type AS RouteID, "
+    "CAST(CASE WHEN value >= 0 THEN 0 ELSE 1 END AS BIGINT) AS DirectionNum, "
+    "CASE WHEN value >= 0 THEN 'NORTH' ELSE 'SOUTH' END AS DirectionText, upper(event_type) AS TripHeadsign, "
+    "strftime(ts, '%Y-%m-%dT%H:00:00') AS TripStartTime, strftime(ts, '%Y-%m-%dT%H:59:59') AS TripEndTime, "
+    "NULLIF(event_type, 'error') AS BlockNumber"
+)
+_CHILD = "SELECT CAST(p_partkey AS INTEGER) AS StopID, unnest(string_split(p_name, ' ')) AS Routes FROM part"
 _FIRST_POSITION = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1"
 
 ORACLE_SQL: dict[str, str] = {
@@ -622,9 +720,27 @@ ORACLE_SQL: dict[str, str] = {
     "write_ignore": "SELECT n_nationkey, upper(n_name) AS n_name, n_regionkey FROM nation",
     "write_error": "SELECT n_nationkey, upper(n_name) AS n_name, n_regionkey FROM nation",
     "partitioned_write": (
+        "SELECT event_id, CAST(ts AS DATE) AS fecha_consulta, strftime(ts, '%H:00:00') AS hora_consulta "
+        "FROM events"
+    ),
+    "partitioned_read": (
         "SELECT event_id, CAST(ts AS DATE) AS fecha_consulta, strftime(ts, '%H:00:00') AS hora_consulta "
         "FROM events WHERE strftime(ts, '%H:00:00') = '23:00:00'"
     ),
+    "merge_residual": _RESIDUAL,
+    "merge_residual_shuffled": _RESIDUAL,
+    "merge_column_order": "SELECT * FROM supplier",
+    "impute_nan": (
+        "SELECT event_id, CASE WHEN value < 0 OR event_type = 'error' THEN 0.5::DOUBLE ELSE value END AS value FROM events"
+    ),
+    "parse_list_long": (
+        "SELECT CAST(o_custkey AS VARCHAR) AS k, count(*) AS n_items, "
+        "md5(string_agg(CAST(o_orderkey AS VARCHAR), '|' ORDER BY o_orderkey)) AS items_md5 FROM orders GROUP BY 1 "
+        "UNION ALL SELECT o_orderstatus, count(*), "
+        "md5(string_agg(CAST(o_orderkey AS VARCHAR), '|' ORDER BY o_orderkey)) FROM orders GROUP BY 1 "
+        "UNION ALL SELECT 'all', 1, md5(repeat(string_agg(n_name, '' ORDER BY n_name), 100)) FROM nation"
+    ),
+    "silver_child_rebuilt": _CHILD,
     "merge_single_key": (
         "WITH t AS (SELECT * FROM customer WHERE c_acctbal > 0), "
         "s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer) "
@@ -689,24 +805,27 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "bronze_dim": (
         "SELECT CAST(p_partkey AS VARCHAR) AS StopID, p_name AS Name, p_retailprice AS Lon, "
-        "CAST(p_size AS DOUBLE) AS Lat FROM part "
+        "CAST(p_size AS DOUBLE) AS Lat, replace(p_name, ' ', '|') AS Routes FROM part "
         "UNION ALL "
         "SELECT '0' || CAST(p_partkey AS VARCHAR) AS StopID, upper(p_name) AS Name, p_retailprice + 1 AS Lon, "
-        "CAST(p_size AS DOUBLE) AS Lat FROM part WHERE p_size > 25"
+        "CAST(p_size AS DOUBLE) AS Lat, replace(upper(p_name), ' ', '|') AS Routes FROM part WHERE p_size > 25"
     ),
     "bronze_fact": (
-        "SELECT CAST(user_id AS VARCHAR) AS VehicleID, CAST(event_id AS VARCHAR) AS TripID, "
-        "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS DateTime, NULLIF(event_type, 'error') AS BlockNumber, "
-        "DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events"
+        f"SELECT {_RAW_POSITION}, DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events"
     ),
     "silver_dim": (
         "SELECT CAST(p_partkey AS INTEGER) AS StopID, p_name AS Stop_Name, p_retailprice AS Lon, "
         "CAST(p_size AS DOUBLE) AS Lat FROM part"
     ),
-    "silver_child": "SELECT CAST(p_partkey AS INTEGER) AS StopID, unnest(string_split(p_name, ' ')) AS Routes FROM part",
+    "silver_child": _CHILD,
     "silver_fact": (
-        "SELECT CAST(user_id AS SMALLINT) AS VehicleID, ts AS DateTime, CAST(event_id AS INTEGER) AS TripID, "
-        "COALESCE(NULLIF(event_type, 'error'), 'Null') AS BlockNumber, value AS Deviation, "
+        "SELECT CAST(user_id AS SMALLINT) AS VehicleID, value / 100.0 AS Lat, -value / 100.0 AS Lon, value AS Deviation, "
+        "ts AS DateTime, CAST(event_id AS INTEGER) AS TripID, event_type AS RouteID, "
+        "CAST(CASE WHEN value >= 0 THEN 0 ELSE 1 END AS TINYINT) AS DirectionNum, "
+        "CASE WHEN value >= 0 THEN 'NORTH' ELSE 'SOUTH' END AS DirectionText, upper(event_type) AS TripHeadsign, "
+        "CAST(date_trunc('hour', ts) AS TIMESTAMP) AS TripStartTime, "
+        "CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 3599 SECOND AS TripEndTime, "
+        "COALESCE(NULLIF(event_type, 'error'), 'Null') AS BlockNumber, "
         f"DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events {_FIRST_POSITION}"
     ),
     "fact_history": (
@@ -715,11 +834,12 @@ ORACLE_SQL: dict[str, str] = {
         f"DATE '2025-01-02' AS fecha_consulta, '00:02:35' AS hora_consulta FROM events {_FIRST_POSITION}"
     ),
     "full_run": (
-        "SELECT 'bronze_stops' AS table_name, count(*) AS n_rows FROM part "
-        "UNION ALL SELECT 'bronze_positions', count(*) FROM events "
-        "UNION ALL SELECT 'silver_stops', count(DISTINCT p_partkey) FROM part "
-        "UNION ALL SELECT 'silver_positions', count(DISTINCT user_id) FROM events "
-        "UNION ALL SELECT 'silver_stops_Routes', count(*) FROM (SELECT unnest(string_split(p_name, ' ')) FROM part)"
+        "SELECT 'bronze_stops' AS table_name, CAST(p_partkey AS VARCHAR) AS k, p_name AS v, p_retailprice AS x FROM part "
+        "UNION ALL SELECT 'bronze_positions', CAST(event_id AS VARCHAR), NULLIF(event_type, 'error'), value FROM events "
+        "UNION ALL SELECT 'silver_stops', CAST(p_partkey AS VARCHAR), p_name, p_retailprice FROM part "
+        "UNION ALL SELECT 'silver_positions', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR), value "
+        f"FROM (SELECT * FROM events {_FIRST_POSITION}) "
+        "UNION ALL SELECT 'silver_stops_Routes', CAST(p_partkey AS VARCHAR), unnest(string_split(p_name, ' ')), NULL FROM part"
     ),
     "stream_merge": "SELECT * FROM nation",
     "stream_dim": (
@@ -727,8 +847,7 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(p_size AS DOUBLE) AS Lat FROM part"
     ),
     "stream_fact": (
-        "SELECT CAST(user_id AS VARCHAR) AS VehicleID, CAST(event_id AS VARCHAR) AS TripID, "
-        "NULLIF(event_type, 'error') AS BlockNumber, "
+        f"SELECT {_RAW_POSITION}, "
         "CASE WHEN event_type = 'view' THEN DATE '2025-01-01' ELSE DATE '2025-01-02' END AS fecha_consulta, "
         "CASE WHEN event_type = 'view' THEN '23:32:35' ELSE '00:02:35' END AS hora_consulta FROM events"
     ),

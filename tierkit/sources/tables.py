@@ -7,7 +7,6 @@ partitioned).  Reads always take a declared schema: partition values such as
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -55,25 +54,49 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         raise
 
 
-def _norm(path: str) -> str:
-    p = re.sub(r"^[A-Za-z][\w+.-]*:", "", path)
-    p = re.sub(r"^/+", "/", p)
-    return p.rstrip("/")
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as the file system names it: with scheme, decoded, absolute."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(hadoop).toString()
 
 
-def _under(file: str, path: str) -> bool:
-    target = _norm(path)
-    f = _norm(file)
-    if re.match(r"^[A-Za-z][\w+.-]*:", path) or path.startswith("/"):
-        return f.startswith(target + "/")
-    # A relative path resolves against a working directory we cannot see:
-    # match it as whole trailing path segments (errs towards refusing).
-    return ("/" + target.strip("/") + "/") in f
+def _scan_roots(df: DataFrame) -> list[str]:
+    """Root folders and files that the analyzed plan reads, subqueries included.
+
+    The analyzed plan still shows the files behind a cached frame, and naming
+    roots does not list the files below them."""
+    plan = df._jdf.queryExecution().analyzed()
+    below = plan.subqueriesAll()
+    out = []
+    for p in [plan, *(below.apply(i) for i in range(below.size()))]:
+        leaves = p.collectLeaves()
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            if leaf.getClass().getSimpleName() != "LogicalRelation":
+                continue
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                roots = relation.location().rootPaths()
+                out += [roots.apply(i).toString() for i in range(roots.size())]
+    return out
 
 
 def reads_from(df: DataFrame, path: str) -> bool:
-    """True if the plan of ``df`` scans any file under ``path``."""
-    return any(_under(f, path) for f in df.inputFiles())
+    """True if the plan of ``df`` reads ``path``, something under it, or a
+    folder that holds it."""
+    target = _qualified(df.sparkSession, path)
+    for root in _scan_roots(df):
+        root = _qualified(df.sparkSession, root)
+        if root == target or root.startswith(target + "/") or target.startswith(root.rstrip("/") + "/"):
+            return True
+    return False
+
+
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """True if a file sink keeps its log in ``path``: readers then see only the
+    files that the log names, and a batch write would vanish."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    return bool(log.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(log))
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -106,7 +129,9 @@ def write_table(
       partition value lands in few, evenly sized files; AQE splits a hot value
       (one capture is one value) over many tasks instead of one.
     * ``compact=True`` rebalances an unpartitioned write the same way (one
-      extra shuffle of the written rows): meant for small, frequent appends.
+      extra shuffle of the written rows), by bytes: meant for frequent appends.
+    * A table that a stream's file sink writes is refused: its readers would
+      not see the files.
     """
     mode = mode.lower()
     if mode not in SAVE_MODES:
@@ -115,6 +140,8 @@ def write_table(
     missing = [c for c in parts if c not in df.columns]
     if missing:
         raise KeyError(f"partition columns not in the data: {missing}")
+    if written_by_stream(df.sparkSession, path):
+        raise ValueError(f"refusing to write {path}: a stream's file sink writes this table")
     if mode == "overwrite" and reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
     if parts and rebalance and _aqe_on(df):

@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from tierkit.operators.clean import dedup_first
 from tierkit.operators.nested import flatten
-from tierkit.operators.merge import merge_insert_only, merge_keys
+from tierkit.operators._names import quote
+from tierkit.operators.merge import merge_insert_only
 from tierkit.operators.stamp import DATE_COL, TIME_COL, stamp_capture
 from tierkit.sources.envelope import required_rows, read_envelopes
 
@@ -80,8 +81,9 @@ def incremental_merge(
     records').
     """
     keys = [key] if isinstance(key, str) else list(key)
-    predicate = [(k, k) for k in keys]
-    merge_keys(predicate)
+    # <=>: a null key is one key, as in keep-first, so what is inserted does not
+    # depend on how the files are dealt to batches, nor on a replayed batch.
+    predicate = " AND ".join(f"target.{quote(k)} <=> source.{quote(k)}" for k in keys)
     stream = landed_rows(spark, landing, data_field, record_schema, multi_line, max_files_per_trigger)
 
     schema = target_schema if target_schema is not None else record_schema
@@ -95,7 +97,7 @@ def incremental_merge(
             rows = flatten(rows, flatten_sep)
         first = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            merge_insert_only(batch.sparkSession, first, target, predicate, schema=schema, partition_cols=partition_cols)
+            merge_insert_only(batch.sparkSession, first, target, predicate, schema=schema, partition_cols=partition_cols, compact=False)
         finally:
             first.unpersist()
 
