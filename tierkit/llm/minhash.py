@@ -7,10 +7,12 @@
 3. Nodes that share a band of the signature are candidates.  A bucket is never
    expanded into rows of pairs.  First every member is compared with the
    bucket's smallest, its hub, and links merge components, which settles most
-   groups of copies.  In buckets that still span components, the members
-   outside the hub's component meet all members in blocks of bounded bytes;
-   a task compares the two blocks in arrays and emits only links that merge.
-   So every pair of a bucket that could join two components is compared.
+   groups of copies.  Buckets that still span components form families (nodes
+   connected over such buckets).  In a family, the nodes outside its largest
+   component meet all its nodes in blocks of bounded bytes; a task compares the
+   two blocks in arrays and emits only links that merge.  So every pair of a
+   bucket that could join two components is compared, and a node's signature
+   and set are shipped once per block, not once per band.
 4. A candidate's signatures are compared batch by batch.  With ``m`` of ``n``
    values equal, the similarity's posterior (uniform prior) gives the chance
    that it reaches the threshold; below ``miss`` the pair is pruned.
@@ -160,9 +162,7 @@ def _find(parent: dict[int, int], x: int) -> int:
 
 
 def _block_linker(part: int, whole: int, batch_size: int, miss: float):
-    """Links between two blocks of one bucket that merge components.
-
-    A pair that shares an earlier band too is left to that band's bucket."""
+    """Links between two blocks of one family that merge components."""
     steps = least_matches(part / whole, batch_size, miss)
 
     def read(table: pa.Table) -> tuple[list[int], list[int], np.ndarray, list[np.ndarray]]:
@@ -170,7 +170,7 @@ def _block_linker(part: int, whole: int, batch_size: int, miss: float):
         sets = [np.frombuffer(x, "<u8") for x in table["shingles"].to_pylist()]
         return table["node"].to_pylist(), table["component"].to_pylist(), signatures, sets
 
-    def candidates(left: np.ndarray, right: np.ndarray, apart: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    def candidates(left: np.ndarray, right: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n, least = steps[0]
         matches = (left[:, None, :n] == right[None, :, :n]).sum(axis=2)
         i, j = np.nonzero((matches >= least) & apart)
@@ -179,14 +179,11 @@ def _block_linker(part: int, whole: int, batch_size: int, miss: float):
             matches = matches + (left[i, done:n] == right[j, done:n]).sum(axis=1)
             alive = matches >= least
             i, j, matches, done = i[alive], j[alive], matches[alive], n
-        upto = band * BAND_ROWS
-        same = (left[i, :upto] == right[j, :upto]).reshape(len(i), band, BAND_ROWS).all(axis=2).any(axis=1)
-        return i[~same], j[~same]
+        return i, j
 
     def run(members: pa.Table, outside: pa.Table) -> pa.Table:
         links = []
         if len(members) and len(outside):
-            band = outside["band"][0].as_py()
             nodes, of, right, sets = read(members)
             others, other_of, left, other_sets = read(outside)
             parent: dict[int, int] = {}
@@ -194,7 +191,7 @@ def _block_linker(part: int, whole: int, batch_size: int, miss: float):
             for at in range(0, len(others), width):
                 rows = slice(at, at + width)
                 apart = np.array(other_of[rows])[:, None] != np.array(of)[None, :]
-                for i, j in zip(*(x.tolist() for x in candidates(left[rows], right, apart, band))):
+                for i, j in zip(*(x.tolist() for x in candidates(left[rows], right, apart))):
                     x, y = _find(parent, other_of[at + i]), _find(parent, of[j])
                     if x != y and _similar(other_sets[at + i], sets[j], part, whole):
                         parent[max(x, y)] = min(x, y)
@@ -262,7 +259,7 @@ def near_duplicates(
     keys = [
         F.xxhash64(F.lit(i), F.substring("signature", 4 * BAND_ROWS * i + 1, 4 * BAND_ROWS)) for i in range(BANDS)
     ]
-    buckets = nodes.select("node", F.posexplode(F.array(*keys)).alias("band", "bucket"))
+    buckets = nodes.select("node", F.explode(F.array(*keys)).alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
     live = keep(buckets.join(shared.select("bucket", "hub"), "bucket"), "buckets")
     labels = keep(live.select("node", F.col("node").alias("component")).distinct(), "labels")
@@ -277,17 +274,25 @@ def near_duplicates(
 
     of_hub = labels.select(F.col("node").alias("hub"), F.col("component").alias("major"))
     members = live.where("node <> hub").join(labels, "node").join(of_hub, "hub")
-    members = members.withColumn("outside", F.col("component") != F.col("major")).select("bucket", "band", "node", "component", "outside")
-    members = members.join(sets.withColumn("bytes", F.octet_length("shingles") + 4 * HASHES + 64), "node")
+    span = members.groupBy("bucket").agg(
+        F.min("node").alias("least"), F.max((F.col("component") != F.col("major")).cast("int")).alias("open")
+    )
+    members = members.select("bucket", "node").join(span.where("open = 1"), "bucket").select("node", "least").distinct()
+    family = components(members).toDF("node", "family")
+    nodes_in = keep(family.join(labels, "node"), "families")
+    shares = nodes_in.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
+    major = shares.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("major"))
+    sized = sets.select("node", (F.octet_length("shingles") + 4 * HASHES + 64).alias("bytes"))
+    placed = nodes_in.join(sized, "node").join(major, "family").withColumn("outside", F.col("component") != F.col("major"))
     sizes = (
-        members.groupBy("bucket")
+        placed.groupBy("family")
         .agg(
             F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("v_blocks"),
             F.ceil(F.sum(F.when(F.col("outside"), F.col("bytes"))) / BLOCK_BYTES).cast("int").alias("w_blocks"),
         )
         .where("w_blocks > 0")
     )
-    open_ = keep(members.join(sizes, "bucket"), "open")
+    open_ = placed.select("family", "node", "component", "outside").join(sizes, "family").join(sets, "node")
     block = F.xxhash64("node")
     every = open_.withColumn("v", F.pmod(block, F.col("v_blocks")).cast("int")).withColumn(
         "w", F.explode(F.sequence(F.lit(0), F.col("w_blocks") - 1))
@@ -295,12 +300,12 @@ def near_duplicates(
     apart = open_.where("outside").withColumn("w", F.pmod(block, F.col("w_blocks")).cast("int")).withColumn(
         "v", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1))
     )
-    columns = ["bucket", "v", "w", "band", "node", "component", "signature", "shingles"]
+    columns = ["family", "v", "w", "node", "component", "signature", "shingles"]
     linker = _block_linker(part, whole, batch_size, miss)
     links = (
         every.select(*columns)
-        .groupBy("bucket", "v", "w")
-        .cogroup(apart.select(*columns).groupBy("bucket", "v", "w"))
+        .groupBy("family", "v", "w")
+        .cogroup(apart.select(*[F.col(c).alias(f"o_{c}") for c in columns]).toDF(*columns).groupBy("family", "v", "w"))
         .applyInArrow(linker, "a long, b long")
     )
     labels = _merge(labels, keep(links, "links"))
