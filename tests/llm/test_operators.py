@@ -1,0 +1,268 @@
+"""The other operators against brute force, round trips and held-out accuracy."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tierkit.llm import ann, bpe, chat, outliers, packing, shards, substring, toxicity
+from tierkit.llm.lines import drop_boilerplate
+from tierkit.llm.words import ranges, utf8
+
+SMALL = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def random_texts(n, seed=1):
+    rng = random.Random(seed)
+    alphabet = list("  \n\t'stmdrevlabIX19!. 　é中Ⅷ½́😀\x1c\x85ÀßİΣ|<*")
+    out = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+    return [*out, "", None, "a" * 3000, " " * 500, "'" * 200, "<|endoftext|> a", "x" * 300 + " It's we'll DON'T"]
+
+
+def test_chat_round_trip_and_mask(spark):
+    rows = [
+        (1, 1, "assistant", "b<|im_end|>\n<|im_start|>"), (1, 0, "user", "a"), (1, 2, "assistant", None), (2, 0, None, "x\\|<\\|"),
+        (None, 0, "us\ner%0A", "<"), (3, 0, "assistant", ""), (3, 0, "assistant", ""), (4, None, "user", "t" * 50_000),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("spans", F.lit(1))
+    got = {r["conv_id"]: r for r in chat.read_chats(chat.format_chats(df)).collect()}
+    for conv in {r[0] for r in rows}:
+        turns = sorted((t if t is not None else -1, r or "", x or "") for c, t, r, x in rows if c == conv)
+        assert [(t["role"], t["text"]) for t in got[conv]["turns"]] == [(r, x) for _, r, x in turns]
+        assert got[conv]["loss_text"] == "".join(x for _, r, x in turns if r == "assistant")
+    assert chat.format_chats(df.where("false")).count() == 0
+
+
+def test_chat_escape_is_reversible_and_history_rewrites_show():
+    for n in range(1, 6):
+        for t in map("".join, itertools.product("<|\\a", repeat=n)):
+            assert chat.unescape(chat.escape(t)) == t and "<|" not in chat.escape(t)
+    turns = [("user", "q"), ("assistant", "thought"), ("user", "r"), ("assistant", "s")]
+
+    def forgetful(ts):  # drops what assistants said before the last user turn
+        last = max((i for i, (r, _) in enumerate(ts) if r == "user"), default=0)
+        return "".join(f"[{r}:{'' if r == 'assistant' and i < last else t}]" for i, (r, t) in enumerate(ts))
+
+    for context in (None, 2):
+        found = chat.locate(turns, forgetful, context)
+        assert found.spans is None and found.rewritten_at == 2
+        spans = chat.locate(turns, chat.marked, context).spans
+        assert [chat.marked(turns)[s.text_start : s.text_end] for s in spans] == [t for _, t in turns]
+
+
+def test_bpe_equals_the_library_and_decodes(spark):
+    texts = random_texts(4000)
+    path = public_tokenizers.path(bpe.RANKS)
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    encoded = bpe.encode(df)
+    back = {r["doc_id"]: r for r in bpe.decode(encoded).collect()}
+    offsets = {r["doc_id"]: r["offsets"] for r in encoded.collect()}
+    for i, t in enumerate(texts):
+        want = library.encode_ordinary(t or "")
+        assert back[i]["ids"] == want and bytes(back[i]["decoded"]).decode() == (t or "")
+        sizes = [len(library.decode_single_token_bytes(x)) for x in want]
+        assert offsets[i] == [sum(sizes[:n]) for n in range(len(sizes))][: len(sizes)] or len(sizes) > 2000
+    assert bpe.encode(df.where("false")).count() == 0
+
+
+def test_packing_holds_every_token_once(spark):
+    texts = random_texts(600, 2)
+    path = public_tokenizers.path(packing.TOKENIZER)
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    rows = packing.pack(df, window=64, stretch=500).collect()
+    docs, sequences = {}, {}
+    for r in rows:
+        docs.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    for i, t in enumerate(texts):
+        want = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+        pieces = sorted(docs[i], key=lambda r: r["start"])
+        assert [x for r in pieces for x in np.frombuffer(r["ids"], "<u4").tolist()] == want
+        assert [r["start"] for r in pieces] == [sum(p["length"] for p in pieces[:n]) for n in range(len(pieces))]
+        assert all(r["doc_tokens"] == len(want) for r in pieces)
+    for pieces in sequences.values():
+        pieces.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in pieces] == [sum(p["length"] for p in pieces[:n]) for n in range(len(pieces))]
+        assert sum(r["length"] for r in pieces) <= 64
+
+
+def test_cuts_are_optimal():
+    rng = random.Random(4)
+    for _ in range(200):
+        bounds = np.cumsum([rng.randint(1, 10) for _ in range(rng.randint(1, 9))])
+        penalties = np.array([rng.choice([0, 3, 9]) for _ in bounds])
+        penalties[-1] = 0
+
+        def cost(cut):
+            ends = [0, *cut]
+            sizes = [b - a for a, b in zip(ends, ends[1:])]
+            of = dict(zip(bounds.tolist(), penalties.tolist()))
+            return sum(10 - s + of[c] for s, c in zip(sizes, cut)) if max(sizes) <= 10 else 10**9
+
+        inner = bounds[:-1].tolist()
+        every = [[*c, int(bounds[-1])] for n in range(len(inner) + 1) for c in itertools.combinations(inner, n)]
+        assert cost(packing.cuts(bounds, penalties, 10)) == min(map(cost, every))
+
+
+def test_shards_are_exact_gapless_and_even(spark):
+    df = spark.range(0, 1003, 1, 5).select(F.when(F.col("id") % 3 > 0, F.lit(7)).alias("v"), F.col("id").alias("uid"), F.lit(1).alias("slot"))
+    rows = shards.uniform_shards(df, 8, seed=3, rows_per_group=20).collect()
+    sizes = Counter(r["shard"] for r in rows)
+    assert sorted(r["uid"] for r in rows) == list(range(1003)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for s in range(8):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sizes[s]))
+    assert shards.uniform_shards(df.where("false"), 8).count() == 0
+    rng = random.Random(1)
+    draws = Counter(shards.hypergeometric(rng, 5, 7, 4) for _ in range(20_000))
+    from math import comb
+
+    for k in range(5):
+        assert abs(draws[k] / 20_000 - comb(5, k) * comb(7, 4 - k) / comb(12, 4)) < 0.015
+    matrix = shards.communication_matrix([10, 0, 33], [14, 14, 15], rng)
+    assert [sum(r) for r in matrix] == [10, 0, 33] and [sum(c) for c in zip(*matrix)] == [14, 14, 15]
+
+
+def test_toxicity_separates_held_out_texts(spark):
+    rng = random.Random(2)
+    rows, marks = [], []
+    for i in range(500):
+        words = [rng.choice(["plain", "words", "of", "every", "day", "here"]) for _ in range(30)]
+        toxic = i % 4 == 0
+        if toxic:
+            words[rng.randrange(30)] = rng.choice(["idiotic", "moronic"])
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame([*rows, (900, None), (901, ""), (None, "plain")], "doc_id long, text string").withColumn("row", F.lit(1))
+    labels = spark.createDataFrame([*marks, (None, 1), (7, None)], "doc_id long, toxic int")
+    model = toxicity.train(toxicity.labelled_rows(docs, labels))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    held = [i for i in range(500) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert all((got[i] >= 0.7) == (i % 4 == 0) for i in held) and len(held) > 100
+    assert got[900] == got[901] and 0 <= got[900] < 0.7
+    untrained = toxicity.train(toxicity.labelled_rows(docs, labels.where("false")))
+    assert toxicity.score(docs, untrained).agg(F.max("score")).first()[0] == 0.5
+
+
+def test_neighbours_recall_ties_and_unusable_vectors(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(600, 9))
+    x[100:130] = x[100]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(700, None), (701, [0.0] * 9), (702, [1.0, None] + [0.0] * 7), (703, [float("nan")] * 9), (None, [1.0] * 9), (704, []), rows[5]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("i", F.lit(0))
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=10, centroids=8).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = 0
+    for i in range(0, 600, 20):
+        want = sorted(((-float(x[i] @ x[j]), j) for j in range(600) if j != i))[:10]
+        found = sorted(got[i])
+        assert [r for r, _, _ in found] == list(range(1, 11))
+        assert all(abs(s - float(x[i] @ x[j])) < 1e-9 for _, j, s in found)
+        hits += len({j for _, j, _ in found} & {j for _, j in want})
+    assert hits >= 0.9 * 300 and sorted(got) == list(range(0, 600, 20))
+    alike = [j for _, j, _ in sorted(got[100]) if 100 <= j < 130]
+    assert len(alike) > 3 and alike == list(range(101, 101 + len(alike)))
+    assert ann.nearest(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def brute_statistics(text):
+    words = WORD.findall(text or "")
+    threes = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(threes)
+    inside = {i + d for i, t in enumerate(threes) if often[t] > 1 for d in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside)
+
+
+def test_outlier_statistics_and_verdicts(documents):
+    rng = random.Random(6)
+    rows = [(i, t) for i, t in enumerate(random_texts(150, 3))]
+    rows += [(500, "a a a a"), (501, "one\ntwo\none\n\n\none "), (502, "A b c a b c A b c")]
+    for i in range(300):
+        rows.append((1000 + i, " ".join(rng.choice(["alpha", "beta", "gamma", "de"]) + str(rng.randrange(999)) for _ in range(rng.randint(60, 90))), "en", "s"))
+    rows += [(2000 + i, " ".join(f"w{rng.randrange(9999)}***&&&" for _ in range(70)), "en", "s") for i in range(20)]
+    got = {r["doc_id"]: r for r in outliers.judge(documents(rows)).collect()}
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    for r in rows:
+        assert tuple(got[r[0]][n] for n in names) == brute_statistics(r[1]), r[:2]
+    assert all(got[1000 + i]["kept"] for i in range(300)) and not any(got[2000 + i]["kept"] for i in range(20))
+    assert not got[500]["kept"] and got[500]["base_failed"]
+    assert outliers.judge(documents(rows).where("false")).count() == 0
+
+
+def test_site_lines_of_hosts(documents):
+    rows = [(i, f"menu \nown {i}\n\nmenu", None, "a") for i in range(30)] + [(100 + i, "menu\nown", None, None) for i in range(9)]
+    rows += [(200, None, None, "a"), (201, "", None, "a"), (202, "menu", None, "a")]
+    got = {r["doc_id"]: r for r in drop_boilerplate(documents(rows), lines_col="n", dropped_col="d").collect()}
+    assert got[3]["text"] == "own 3\n" and (got[3]["n"], got[3]["d"]) == (4, 2)
+    assert got[100]["text"] == "menu\nown"  # fewer pages than the least number
+    assert got[200]["text"] is None and got[201]["text"] == "" and got[202]["text"] == "" and got[200]["n"] == 0
+    assert got[3]["a.b"] == "3" and len(got) == len(rows)
+
+
+def test_passages_planted_across_documents(documents):
+    rng = random.Random(8)
+    fill = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    passage, half = fill(60), fill(40)
+    rows, fuzzy = [], {}
+    for i in range(40):
+        p = list(passage)
+        for at in rng.sample(range(8, 52), rng.choice([0, 1, 2])):
+            p[at] = f"e{i}"
+        before = fill(rng.randint(0, 30))
+        rows.append((i, " ".join([*before, *p, *fill(rng.randint(0, 30))])))
+        fuzzy[i] = (len(before), len(before) + 60)
+    rows += [(100, " ".join(fill(80))), (101, None), (102, ""), (103, " ".join(half)), (104, " ".join(half)), (None, " ".join(passage))]
+    rows += [(105, " ".join([*half[:25], *fill(60)])), (106, " ".join([*half[:25], *fill(60)]))]  # too short to count
+    found = substring.repeated_passages(documents(rows))
+    spans = {}
+    for r in found.collect():
+        assert r["source_doc_id"] < r["doc_id"]
+        spans.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"]))
+    assert set(spans) == set(range(1, 40))
+    for i, of in spans.items():
+        assert min(abs(s - fuzzy[i][0]) + abs(e - fuzzy[i][1]) for s, e in of) <= 4, (i, of)
+    docs = documents(rows)
+    cut = {r["doc_id"]: r["text"] for r in substring.cut_passages(docs, found).collect()}
+    assert cut[0] == rows[0][1] and cut[100] == rows[40][1] and cut[101] is None and cut[None] == " ".join(passage)
+    assert all(len((cut.get(i) or "").split()) <= len(rows[i][1].split()) - 55 for i in range(1, 40))
+    assert substring.repeated_passages(docs.where("false")).count() == 0
+
+
+def test_chain_prefers_order_and_breaks_at_gaps():
+    ordered = [(0, 0, 20, 20), (25, 40, 30, 45), (32, 24, 50, 42)]
+    best = substring.chain(ordered)[0]
+    assert best == [ordered[0], ordered[2]]
+    assert [len(p) for p in substring.chain([(0, 0, 9, 9), (100, 100, 120, 120)])] == [1, 1]
+
+
+def test_pipeline_stages_on_the_small_table(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns, n = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.keep(stage(spark, docs, SMALL), name)
+        assert docs.columns == columns and 0 < docs.count() <= n
+        n = docs.count()
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
+    assert pieces.select("doc_id").distinct().count() == n

@@ -183,7 +183,7 @@ class _Stream:
             return
         ids = np.concatenate([d[2] for d in self.docs])
         ends = np.cumsum([len(d[2]) for d in self.docs])
-        bounds, penalties = places(ends, np.flatnonzero(self.sentence_end[ids]) + 1)
+        bounds, penalties = places(ends, np.flatnonzero(self.sentence_end[ids]) + 1, min(FILL, self.window))
         found = cuts(bounds, penalties, self.window)
         keep_from = len(ids) if last else (found[-2] if len(found) > 1 else 0)
         at, d, left = 0, 0, []
