@@ -17,7 +17,7 @@ import base64
 import heapq
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,9 @@ from tierkit.llm.words import ranges, utf8
 from tierkit.operators._names import q
 
 RANKS = "byte_bpe_50k.tiktoken"
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
+#: Bytes of text, or ids, worked on at once: the arrays take some 100 times that.
+CHUNK = 1 << 18
 LONG_PIECE = 128
 
 # The code points with the White_Space property.
@@ -181,6 +183,13 @@ class Vocabulary:
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
+        self.text = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.text_at = np.cumsum(self.lengths) - self.lengths
+        self._forget()
+
+    @cached_property
+    def pairs(self) -> PairTable:
         pairs = []
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
@@ -188,11 +197,7 @@ class Vocabulary:
                 if a is not None and b is not None:
                     pairs.append((a, b, rank))
         left, right, rank = np.array(pairs, np.int64).T
-        self.pairs = PairTable(left, right, rank, rank)
-        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
-        self.text = np.frombuffer(b"".join(self.tokens), np.uint8)
-        self.text_at = np.cumsum(self.lengths) - self.lengths
-        self._forget()
+        return PairTable(left, right, rank, rank)
 
     def _forget(self) -> None:
         self.cache = _Numbers()
@@ -314,7 +319,7 @@ def _encoder(path: str | None):
         words = vocabulary(path or public_tokenizers.path(RANKS))
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for lo, hi in ranges(offsets):
+            for lo, hi in ranges(offsets, CHUNK):
                 ids, at, counts = words.encode(data, offsets[lo : hi + 1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), _lists(ids, counts), _lists(at, counts)],
@@ -341,14 +346,16 @@ def _decoder(path: str | None):
         words = vocabulary(path or public_tokenizers.path(RANKS))
         for batch in batches:
             column = batch.column(1)
-            ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = column.flatten().to_numpy(zero_copy_only=False)
             counts = np.array([0 if x is None else x for x in column.value_lengths().to_pylist()], np.int64)
-            text, size = words.decode(ids)
-            total = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(counts))]
-            out = pa.Array.from_buffers(
-                pa.binary(), len(column), [None, pa.py_buffer(total.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(text))]
-            )
-            yield pa.RecordBatch.from_arrays([batch.column(0), column, out], names=["doc_id", "ids", "decoded"])
+            ends = np.append(0, np.cumsum(counts))
+            for lo, hi in ranges(ends, CHUNK):
+                text, size = words.decode(ids[ends[lo] : ends[hi]])
+                total = np.append(0, np.cumsum(size))[ends[lo : hi + 1] - ends[lo]].astype(np.int32)
+                buffers = [None, pa.py_buffer(total), pa.py_buffer(np.ascontiguousarray(text))]
+                out = pa.Array.from_buffers(pa.binary(), hi - lo, buffers)
+                rows = [batch.column(i).slice(lo, hi - lo) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*rows, out], names=["doc_id", "ids", "decoded"])
 
     return run
 
