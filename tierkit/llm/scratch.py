@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 
 from tierkit.session import scratch_path
 
+#: Spark drops a write's shuffle files when the write ends, not when the driver
+#: next collects garbage; nothing reads them again once the table is there.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the session's checkpoint folder and read it back.
@@ -13,6 +17,15 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     The table outlives lost executors, and a retried task reads the same rows,
     which a recomputed plan would not promise.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
