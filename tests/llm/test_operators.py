@@ -255,6 +255,21 @@ def test_chain_prefers_order_and_breaks_at_gaps():
     assert [len(p) for p in substring.chain([(0, 0, 9, 9), (100, 100, 120, 120)])] == [1, 1]
 
 
+def test_chain_takes_the_best_predecessor_within_the_gap():
+    near = [(300, 300, 310, 310), (318, 314, 328, 324), (336, 328, 346, 338)]
+    assert near in substring.chain([(0, 0, 195, 195), *near])
+    rng = random.Random(11)
+    for _ in range(200):
+        found = [(x, y, x + n, y + n) for x, y, n in ((rng.randrange(150), rng.randrange(150), rng.randrange(25)) for _ in range(12))]
+        found = sorted(set(found))
+        best = {}
+        for b in found:  # every predecessor tried
+            ends = [best[a] - 0.1 * (b[0] - a[2] + b[1] - a[3]) for a in best if 0 < b[0] - a[2] <= 32 and 0 < b[1] - a[3] <= 32]
+            best[b] = b[2] - b[0] + 5 + max([0.0, *ends])
+        score = lambda c: sum(b[2] - b[0] + 5 for b in c) - 0.1 * sum(b[0] - a[2] + b[1] - a[3] for a, b in itertools.pairwise(c))
+        assert abs(score(substring.chain(found)[0]) - max(best.values())) < 1e-6
+
+
 def test_pipeline_stages_on_the_small_table(spark):
     import corpus_pipeline
 
