@@ -255,6 +255,43 @@ def test_chain_prefers_order_and_breaks_at_gaps():
     assert [len(p) for p in substring.chain([(0, 0, 9, 9), (100, 100, 120, 120)])] == [1, 1]
 
 
+def passage_rows(spark_rows):
+    return [(r["doc_id"], r["source_doc_id"], r["start_word"], r["end_word"]) for r in spark_rows.collect()]
+
+
+def test_every_place_of_a_passage_is_told(documents):
+    rng = random.Random(12)
+    fill = lambda n: [f"g{rng.randrange(10**9)}" for _ in range(n)]
+    once, quoted = fill(60), fill(52)
+    rows = [
+        (1, [*fill(40), *once, *fill(40)]),
+        (2, [*fill(30), *once, *fill(70), *once, *fill(30), *once]),
+        (3, [*fill(40), *quoted, *fill(40)]),
+        (4, [*fill(20), *quoted[:40], *fill(60), *quoted, *fill(10)]),
+        (5, ["a"] * 3000),
+        (6, ["a"] * 7000),
+    ]
+    found = passage_rows(substring.repeated_passages(documents([(i, " ".join(w)) for i, w in rows])))
+    assert sorted(f for f in found if f[0] == 2) == [(2, 1, 30, 90), (2, 1, 160, 220), (2, 1, 250, 310)]
+    assert [f for f in found if f[0] == 4] == [(4, 3, 120, 172)]
+    assert {f[0] for f in found} == {2, 4, 6}
+    told = set()
+    for f in found:
+        told |= set(range(f[2], f[3])) if f[0] == 6 else set()
+    assert len(told) == 7000
+
+
+def test_blocks_are_the_same_however_few_matches_are_held():
+    rng = np.random.default_rng(3)
+    seed, other = rng.integers(0, 12, 300), rng.integers(0, 12, 200)
+    pos, at = rng.permutation(3000)[:300], rng.permutation(2000)[:200]
+    whole = substring.blocks(seed, pos, other, at, 32)
+    assert whole == substring.blocks(seed, pos, other, at, 32, limit=7)
+    spelled = {(int(x), int(y)) for s, x in zip(seed, pos) for o, y in zip(other, at) if s == o}
+    ends = {(b[0], b[1]) for b in whole} | {(b[2], b[3]) for b in whole}
+    assert ends <= spelled and all(any(y - x == b[1] - b[0] and b[0] <= x <= b[2] for b in whole) for x, y in spelled)
+
+
 def test_chain_takes_the_best_predecessor_within_the_gap():
     near = [(300, 300, 310, 310), (318, 314, 328, 324), (336, 328, 346, 338)]
     assert near in substring.chain([(0, 0, 195, 195), *near])
