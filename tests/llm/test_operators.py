@@ -292,6 +292,29 @@ def test_blocks_are_the_same_however_few_matches_are_held():
     assert ends <= spelled and all(any(y - x == b[1] - b[0] and b[0] <= x <= b[2] for b in whole) for x, y in spelled)
 
 
+def test_passages_that_meet_several_sources(documents):
+    rng = random.Random(13)
+    fill = lambda n: [f"h{rng.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], {}
+    for i in range(12):  # half of a passage ends a longer run of the first document
+        run, rest = fill(25), fill(27)
+        rows += [(10 * i + 1, [*fill(40), *run, *fill(40)]), (10 * i + 2, [*fill(20), *run, *rest, *fill(20)]), (10 * i + 3, [*fill(30), *run, *rest, *fill(5)])]
+        want[10 * i + 3] = (10 * i + 2, 30, 82)
+    for i in range(20, 32):  # thirds of it are in three earlier documents
+        thirds = [fill(24) for _ in range(3)]
+        rows += [(10 * i + j, [*fill(40), *t, *fill(40)]) for j, t in enumerate(thirds)]
+        rows += [(10 * i + 4, [*fill(20), *sum(thirds, []), *fill(20)]), (10 * i + 5, [*fill(30), *sum(thirds, []), *fill(5)])]
+        want[10 * i + 5] = (10 * i + 4, 30, 102)
+    for i in range(40, 52):  # a source whose words are all told already is a source still
+        a, b, x, y = fill(30), fill(30), fill(40), fill(40)
+        rows += [(10 * i, [*fill(9), *x, *a, *fill(9)]), (10 * i + 1, [*fill(9), *b, *y, *fill(9)])]
+        rows += [(10 * i + 2, [*x, *a, *b, *y]), (10 * i + 3, [*fill(20), *a, *b, *fill(20)])]
+        want[10 * i + 3] = (10 * i + 2, 20, 80)
+    found = passage_rows(substring.repeated_passages(documents([(i, " ".join(w)) for i, w in rows])))
+    assert {d: t for d, *t in found if d in want} == {d: list(t) for d, t in want.items()}
+    assert {f[0] for f in found} == {*want, *range(402, 522, 10)}
+
+
 def test_chain_takes_the_best_predecessor_within_the_gap():
     near = [(300, 300, 310, 310), (318, 314, 328, 324), (336, 328, 346, 338)]
     assert near in substring.chain([(0, 0, 195, 195), *near])
