@@ -9,8 +9,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-SMOKE_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -34,13 +32,3 @@ def scratch(spark):
     from tierkit.session import scratch_path
 
     return lambda label="t": scratch_path(spark, label)
-
-
-def write_text(path: str, name: str, text: str) -> str:
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    os.makedirs(path, exist_ok=True)
-    full = os.path.join(path, name)
-    with open(full, "w") as fh:
-        fh.write(text)
-    return full

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import types as T
 
-from conftest import write_text
+from helpers import write_text
 from tierkit.plans import LakePaths, bronze_dimension, bronze_fact, full_run, silver_dimension, silver_fact
 from tierkit.plans.feeds import transit_feeds
 from tierkit.plans.jobs import (

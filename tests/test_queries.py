@@ -9,7 +9,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SMOKE_DIR
+from helpers import SMOKE_DIR
 from oracle import compare, duck
 from tierkit.queries import ORACLE_SQL, QUERIES
 

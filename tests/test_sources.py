@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tierkit.sources.tables import read_table, reads_from, write_table
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from helpers import write_text
 from tierkit.sources import TableNotFound, ingest_envelope, read_table, table_exists, write_envelopes, write_table
 
 RECORD = "StopID string, Name string, Lon double, Lat double, Routes array<string>"
