@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import bpe, chat, packing, toxicity
+from tierkit.llm import bpe, chat, merkle, packing, toxicity
 from tierkit.llm.ann import nearest
 from tierkit.llm.lines import drop_boilerplate
 from tierkit.llm.minhash import near_duplicates
@@ -100,6 +100,18 @@ def op10_site_lines(spark, sf_dir):
     return drop_boilerplate(docs, lines_col="n_lines", dropped_col="n_dropped")
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = merkle.manifest(docs, altered={"text": F.when(hit, lower).otherwise(F.col("text"))})
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("left"), F.col("right")).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -111,6 +123,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_site_lines": op10_site_lines,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
