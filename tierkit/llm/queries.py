@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import bpe, chat, merkle, packing, repair, toxicity
+from tierkit.llm import bpe, chat, licenses, merkle, packing, repair, toxicity
 from tierkit.llm.ann import nearest
 from tierkit.llm.lines import drop_boilerplate
 from tierkit.llm.minhash import near_duplicates
@@ -100,6 +100,10 @@ def op10_site_lines(spark, sf_dir):
     return drop_boilerplate(docs, lines_col="n_lines", dropped_col="n_dropped")
 
 
+def op11_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op12_structure_repair(spark, sf_dir):
     damaged, dropped = repair.damage(table(spark, sf_dir, "conversations"))
     return repair.summaries(damaged, place=(F.col("copy"),), dropped=dropped)
@@ -128,6 +132,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_site_lines": op10_site_lines,
+    "op11_license_scan": op11_license_scan,
     "op12_structure_repair": op12_structure_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

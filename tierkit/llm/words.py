@@ -79,11 +79,11 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def _words(data: np.ndarray, doc_starts: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, doc_starts: np.ndarray, values: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(start byte, hash) of every word; a word never crosses a document start."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, _U)
-    space = _SPACE[data]
+    space = between[data]
     first = ~space
     before = np.empty_like(space)
     before[0] = True
@@ -100,19 +100,19 @@ def _words(data: np.ndarray, doc_starts: np.ndarray, values: np.ndarray) -> tupl
     return starts, mix(np.add.reduceat(value, starts - begin))
 
 
-def _long(data: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of one long document, in blocks cut at white space."""
+def _long(data: np.ndarray, values: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Words of one long document, in blocks cut between words."""
     at, starts, hashes = 0, [], []
     none = np.zeros(1, np.int64)
     while at < len(data):
         end = at + CHUNK_BYTES
         while end < len(data):
-            gaps = np.flatnonzero(_SPACE[data[at:end]])
+            gaps = np.flatnonzero(between[data[at:end]])
             if len(gaps):
                 end = at + int(gaps[-1]) + 1
                 break
             end += CHUNK_BYTES
-        s, h = _words(data[at : min(end, len(data))], none, values)
+        s, h = _words(data[at : min(end, len(data))], none, values, between)
         starts.append(s + at)
         hashes.append(h)
         at = end
@@ -129,14 +129,23 @@ def ranges(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def chunks(column: pa.Array, fold: bool = True) -> Iterator[Chunk]:
-    """The words of a whole string column, chunk by chunk; ``fold`` A-Z to a-z."""
+def byte_values(between: np.ndarray) -> np.ndarray:
+    """Values of the bytes of words for other bytes ``between`` words, A-Z as a-z."""
+    values = np.where(between, _U(0), splitmix(1, 256))
+    values[65:91] = values[97:123]
+    return values
+
+
+def chunks(column: pa.Array, fold: bool = True, between: np.ndarray | None = None) -> Iterator[Chunk]:
+    """The words of a whole string column, chunk by chunk; ``fold`` A-Z to a-z.
+    ``between`` marks the bytes that are not of words, if not white space."""
     data, offsets = utf8(column)
-    values = _FOLDED if fold else _EXACT
+    values = (_FOLDED if fold else _EXACT) if between is None else byte_values(between)
+    between = _SPACE if between is None else between
     for lo, hi in ranges(offsets):
         a, b = int(offsets[lo]), int(offsets[hi])
         rel = offsets[lo : hi + 1] - a
-        starts, hashes = _long(data[a:b], values) if b - a > CHUNK_BYTES else _words(data[a:b], rel[:-1], values)
+        starts, hashes = _long(data[a:b], values, between) if b - a > CHUNK_BYTES else _words(data[a:b], rel[:-1], values, between)
         yield Chunk(lo, np.searchsorted(starts, rel), hashes, starts + a)
 
 
