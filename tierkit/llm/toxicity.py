@@ -32,6 +32,8 @@ L2 = 0.1
 LEAST_RATIO = 1.0
 STEPS = 60
 THRESHOLD = 0.7
+#: Training rows worked on at a time, and rows of a record batch handed back.
+FIT_ROWS, ROWS_OUT = 256, 512
 _U = np.uint64
 _STEP = _U(0xD1342543DE82EF95)
 
@@ -106,26 +108,30 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, l2: float
     if not len(rows) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    lens = np.array([len(r) for r in rows])
-    index = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows)), lens)
-    positive = y[owner] == 1
-    toxic, clean = (np.bincount(index[m], minlength=size) for m in (positive, ~positive))
+    toxic, clean = (sum(np.bincount(rows[i], minlength=size) for i in np.flatnonzero(y == is_toxic)) for is_toxic in (1, 0))
     ratio = np.log((toxic + 1) / (y.sum() + 2)) - np.log((clean + 1) / (len(y) - y.sum() + 2))
     ratio[(toxic + clean < 2) | (np.abs(ratio) < LEAST_RATIO)] = 0
-    used = ratio[index] != 0
-    index, owner = index[used], owner[used]
-    seen, index = np.unique(index, return_inverse=True)
+    seen = np.flatnonzero(ratio)
     scale = ratio[seen]
+    number = np.cumsum(ratio != 0, dtype=np.int32) - 1
+    # Some rows at a time: (first row, row of each bucket there, buckets).
+    parts = []
+    for lo in range(0, len(rows), FIT_ROWS):
+        used = [number[r[ratio[r] != 0]] for r in rows[lo : lo + FIT_ROWS]]
+        parts.append((lo, np.repeat(np.arange(len(used), dtype=np.int32), [len(r) for r in used]), np.concatenate(used)))
     sign = 2 * y - 1
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         scaled = w[:-1] * scale
-        z = np.bincount(owner, scaled[index], minlength=len(y)) + w[-1]
+        z = np.full(len(y), w[-1])
+        for lo, owner, index in parts:
+            found = np.bincount(owner, scaled[index])
+            z[lo : lo + len(found)] += found
         m = sign * z
         value = np.logaddexp(0, -m).sum() + 0.5 * l2 * (w[:-1] @ w[:-1])
         pull = -sign / (1 + np.exp(np.clip(m, -500, 500)))
-        grad = np.bincount(index, pull[owner], minlength=len(seen)) * scale + l2 * w[:-1]
+        grad = sum(np.bincount(index, pull[lo + owner], minlength=len(seen)) for lo, owner, index in parts)
+        grad = grad * scale + l2 * w[:-1]
         return float(value), np.append(grad, pull.sum())
 
     w = _minimise(loss, np.zeros(len(seen) + 1), steps)
@@ -136,8 +142,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, l2: float
 
 def _featuriser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [f.astype("<i4").tobytes() for f in features(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["label", "features"])
+        for lo in range(0, batch.num_rows, ROWS_OUT):
+            part = batch.slice(lo, ROWS_OUT)
+            found = [f.astype("<i4").tobytes() for f in features(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["label", "features"])
 
 
 def _fitter(l2: float, steps: int):
@@ -169,11 +177,12 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS, l2: float = L2, steps:
     return Model(np.frombuffer(bytes(row["weights"]), "<f4"), float(row["bias"]))
 
 
-def _scorer(model: Model):
+def _scorer(model: Model, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = model.weights.astype(np.float64)
         for batch in batches:
-            z = np.array([weights[f].sum() for f in features(batch.column(1))]) + model.bias
+            text = batch.column(0).field(place).cast(pa.string())
+            z = np.array([weights[f].sum() for f in features(text)]) + model.bias
             scores = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
@@ -189,8 +198,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     """
     columns = [c for c in docs.columns if c.lower() != score_col.lower()]
     kind = f"row {docs.select(F.struct(*[q(c) for c in columns]).alias('row')).schema['row'].dataType.simpleString()}"
-    rows = docs.select(F.struct(*[q(c) for c in columns]).alias("row"), q(text_col).cast("string").alias("text"))
-    scored = rows.mapInArrow(_scorer(model), f"{kind}, score double")
+    rows = docs.select(F.struct(*[q(c) for c in columns]).alias("row"))
+    scored = rows.mapInArrow(_scorer(model, columns.index(text_col)), f"{kind}, score double")
     return scored.select(*[F.col("row").getField(c).alias(c) for c in columns], F.col("score").alias(score_col))
 
 
