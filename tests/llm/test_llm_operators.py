@@ -29,7 +29,7 @@ def random_texts(n, seed=1):
     rng = random.Random(seed)
     alphabet = list("  \n\t'stmdrevlabIX19!. 　é中Ⅷ½́😀\x1c\x85ÀßİΣ|<*")
     out = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(n)]
-    return [*out, "", None, "a" * 3000, " " * 500, "'" * 200, "<|endoftext|> a", "x" * 300 + " It's we'll DON'T"]
+    return [*out, "", None, "a" * 3000, " " * 500, "'" * 200, "<|endoftext|> a", "Hello<|startoftext|>A's <|endoftext|><|ENDOFTEXT|> é<|endoftext|>É", "x" * 300 + " It's we'll DON'T"]
 
 
 def test_chat_round_trip_and_mask(spark):
@@ -81,11 +81,23 @@ def test_bpe_equals_the_library_and_decodes(spark):
     assert bpe.encode(df.where("false")).count() == 0
 
 
+def test_every_code_point_is_classed_as_the_library_does(spark):
+    points = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000]
+    # Beside a letter, digits and marks, before a contraction, and in runs of its own.
+    shown = [f"x{c}'s1{c} {c}{c}9{c}!{c}" for c in points]
+    texts = [" ".join(shown[i : i + 2000]) for i in range(0, len(shown), 2000)]
+    with open(public_tokenizers.path(bpe.RANKS), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    for r in bpe.encode(df).select("doc_id", "ids").toLocalIterator():
+        assert list(r["ids"]) == library.encode_ordinary(texts[r["doc_id"]])
+
+
 def test_packing_holds_every_token_once(spark):
     texts = random_texts(600, 2)
     path = public_tokenizers.path(packing.TOKENIZER)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
     rows = packing.pack(df, window=64, stretch=500).collect()
     docs, sequences = {}, {}
@@ -210,11 +222,13 @@ def test_outlier_statistics_and_verdicts(documents):
 
 
 def test_site_lines_of_hosts(documents):
-    rows = [(i, f"menu \nown {i}\n\nmenu", None, "a") for i in range(30)] + [(100 + i, "menu\nown", None, None) for i in range(9)]
+    rows = [(i, f"menu \nown {i}\n\nmenu", None, "a") for i in range(30)] + [(100 + i, "menu\nown", None, None) for i in range(2)]
     rows += [(200, None, None, "a"), (201, "", None, "a"), (202, "menu", None, "a")]
     got = {r["doc_id"]: r for r in drop_boilerplate(documents(rows), lines_col="n", dropped_col="d").collect()}
     assert got[3]["text"] == "own 3\n" and (got[3]["n"], got[3]["d"]) == (4, 2)
     assert got[100]["text"] == "menu\nown"  # fewer pages than the least number
+    three = documents([(i, f"menu\nown {i}", None, "b") for i in range(3)])
+    assert sorted(r["text"] for r in drop_boilerplate(three).collect()) == ["own 0", "own 1", "own 2"]  # as many
     assert got[200]["text"] is None and got[201]["text"] == "" and got[202]["text"] == "" and got[200]["n"] == 0
     assert got[3]["a.b"] == "3" and len(got) == len(rows)
 

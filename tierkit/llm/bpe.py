@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import base64
 import heapq
-import unicodedata
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +35,6 @@ CACHE_PIECES = 250_000
 CHUNK = 1 << 18
 LONG_PIECE = 128
 
-# The code points with the White_Space property.
-WHITE_SPACE = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-
 # Classes.  An apostrophe is SHORT or LONG if one or two letters that make a
 # contraction follow; white space is INNER if white space or the end follows,
 # else LAST (a blank, which joins the next piece) or LAST_OTHER.
@@ -119,14 +116,16 @@ def scan(codes: np.ndarray, width: int = 256) -> np.ndarray:
 
 @lru_cache(1)
 def _kinds() -> np.ndarray:
+    """Class of every code point, as the tokenizer library knows letters, numbers
+    and white space: its matches of one class over all code points are those that
+    it encodes, and their bytes, decoded, are the class."""
+    points = "".join(map(chr, (i for i in range(0x110000) if not 0xD800 <= i < 0xE000)))
+    own_bytes = {bytes([i]): i for i in range(256)}
     out = np.full(0x110000, OTHER, np.uint8)
-    for i in range(0x110000):
-        c = unicodedata.category(chr(i))[0]
-        if c == "L":
-            out[i] = LETTER
-        elif c == "N":
-            out[i] = NUMBER
-    out[WHITE_SPACE] = INNER
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (INNER, r"\s")):
+        of_class = tiktoken.Encoding(f"class {kind}", pat_str=pattern, mergeable_ranks=own_bytes, special_tokens={})
+        found = bytes(of_class.encode_ordinary(points)).decode()
+        out[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
     return out
 
 

@@ -25,7 +25,8 @@ Turn = tuple[str, str]
 
 # The control strings of the template.
 START, END = "<|im_start|>", "<|im_end|>"
-CONTEXT = 8
+#: Earlier turns rendered with a turn; ``None`` is all of them, the whole prefix.
+CONTEXT = None
 
 
 def escape(text: str) -> str:

@@ -17,7 +17,8 @@ from tierkit.operators._names import q
 from tierkit.operators.merge import broadcast_limit
 
 RATIO = 0.1
-MIN_PAGES = 10
+#: A line of two pages says no more than that one is a copy of the other.
+MIN_PAGES = 3
 BLANK = " \t\r\x0b\x0c"
 
 

@@ -56,7 +56,7 @@ class Words:
     those of its stretches between blanks and line ends, in order.  A stretch
     of ASCII and Latin-1 letters splits into the tokenizer's own pieces; those
     not seen before are merged together by the file's merge list.  Any other
-    stretch goes to the tokenizer whole.
+    stretch, and one that holds an added token's text, goes to the tokenizer whole.
     """
 
     _LETTERS = "a-zß-öø-ÿ"
@@ -66,10 +66,11 @@ class Words:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         vocabulary, self.suffix = model["vocab"], model["end_of_word_suffix"]
+        # The tokenizer finds these in the text as it stands, before it splits it.
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         symbols = _byte_symbols()
         self.inner = np.array([vocabulary[symbols[b]] for b in range(256)])
         self.last = np.array([vocabulary[symbols[b] + self.suffix] for b in range(256)])
@@ -77,7 +78,7 @@ class Words:
         left, right = (np.array([vocabulary[p[i]] for p in pairs], np.int64) for i in (0, 1))
         merged = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
         self.pairs = PairTable(left, right, np.arange(len(pairs)), merged)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends = np.zeros(1 + max(*vocabulary.values(), *self.tokenizer.get_added_tokens_decoder()), bool)
         self.ends[[i for t, i in vocabulary.items() if t.removesuffix(self.suffix)[-1:] in (".", "!", "?")]] = True
         self.stretches: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
@@ -96,7 +97,7 @@ class Words:
     def _learn(self, stretches: set[str]) -> None:
         split, new = {}, set()
         for s in stretches:
-            if len(s) <= self._LONGEST and self._SIMPLE.fullmatch(s):
+            if len(s) <= self._LONGEST and self._SIMPLE.fullmatch(s) and not any(m in s for m in self.marks):
                 split[s] = found = self._PIECE.findall(s.lower())
                 new.update(p for p in found if p not in self.pieces)
             else:

@@ -151,7 +151,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM (SELECT source, bare, count(DISTINCT doc_id) AS n FROM b WHERE bare <> '' GROUP BY ALL) c
             JOIN (SELECT source, count(*) AS total FROM documents GROUP BY ALL) t
               ON c.source IS NOT DISTINCT FROM t.source
-            WHERE n >= 10 AND n > 0.1 * total
+            WHERE n >= 3 AND n > 0.1 * total
         ), k AS (
             SELECT b.*, boiler.bare IS NULL AS kept
             FROM b LEFT JOIN boiler ON b.source IS NOT DISTINCT FROM boiler.source AND b.bare = boiler.bare
