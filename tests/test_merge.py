@@ -12,7 +12,7 @@ def table_rows(spark, path, ddl=KV):
     return sorted((tuple(r) for r in read_table(spark, path, ddl).collect()), key=repr)
 
 
-def test_merge_keys_parsing():
+def test_merge_keys_parsing(spark):
     assert merge_keys("target.StopID = source.StopID") == [("StopID", "StopID", False)]
     pairs = merge_keys("target.a = source.b AND source.c <=> target.d")
     assert pairs == [("a", "b", False), ("d", "c", True)]
@@ -23,7 +23,7 @@ def test_merge_keys_parsing():
 @pytest.mark.parametrize(
     "bad", ["target.a > source.a", "target.a = target.b", "target.a = source.a OR target.b = source.b", "true", ""]
 )
-def test_merge_keys_refuses_non_equi(bad):
+def test_merge_keys_refuses_non_equi(spark, bad):
     with pytest.raises(ValueError):
         merge_keys(bad)
 
@@ -271,3 +271,61 @@ def test_merge_keeps_the_sources_parallelism(spark, scratch):
     tasks = src.rdd.mapPartitions(lambda rows: (seen.add(1), rows)[1]).toDF(KV)
     merge_insert_only(spark, tasks, p, ["k"])
     assert seen.value == 40 and read_table(spark, p, KV).count() == 4000
+
+
+def _merged(spark, scratch, predicate, limit=None, hot=0):
+    """Rows (k, z, v) of a table after a merge of source rows under a predicate."""
+    ddl = "k int, z int, v string"
+    p = scratch("merge")
+    write_table(spark.createDataFrame([(1, 10, "a"), (2, 20, "x AND target.z = source.z AND y"), (3, 30, "c")], ddl), p)
+    src = spark.createDataFrame([(1, 11, "new"), (2, 21, "new"), (3, 30, "new"), (4, 40, "new")] + [(3, 31, "new")] * hot, ddl)
+    counts = merge_insert_only(spark, src, p, predicate, broadcast_max_bytes=limit)
+    rows = table_rows(spark, p, ddl)
+    assert counts.read == 4 + hot and counts.inserted == len(rows) - 3 and counts.matched == counts.read - counts.inserted
+    return [r for r in rows if r[2] == "new"]
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_terms_in_quotes_and_parentheses_stay_terms(spark, scratch, limit):
+    quoted = "target.k = source.k AND target.v <> 'x AND target.z = source.z AND y'"
+    assert _merged(spark, scratch, quoted, limit) == [(2, 21, "new"), (4, 40, "new")]
+    grouped = "target.k = source.k AND (target.z = source.z AND target.v = 'c')"
+    assert _merged(spark, scratch, grouped, limit) == [(1, 11, "new"), (2, 21, "new"), (4, 40, "new")]
+    negated = "target.k = source.k AND NOT (target.v = 'a' AND target.z < source.z)"
+    assert _merged(spark, scratch, negated, limit) == [(1, 11, "new"), (4, 40, "new")]
+    either = "target.k = source.k AND (target.z = source.z OR target.z BETWEEN 10 AND 15)"
+    assert _merged(spark, scratch, either, limit) == [(2, 21, "new"), (4, 40, "new")]
+
+
+@pytest.mark.parametrize("hot", [0, 500])
+def test_terms_beside_a_hot_key(spark, scratch, hot):
+    term = "target.k = source.k AND target.z <= source.z - 1"
+    got = _merged(spark, scratch, term, 0, hot)
+    assert got == [(3, 30, "new"), (4, 40, "new")]
+
+
+def test_false_hot_keys_do_no_harm(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tierkit.operators import merge
+
+    src = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit("s").alias("v"))
+    tgt = spark.range(0, 200, 2).select(F.col("id").cast("int").alias("__t0"))
+    keys = [merge.KeyPair("k", "k", False)]
+    hashes = [r[0] for r in src.where("k < 50").select(F.xxhash64("k")).collect()] + [12345]
+    stats = merge.KeyStats(0, 48, 200, [(h, 60) for h in hashes])
+    match = F.col("source.k") == F.col("target.__t0")
+    for out in (merge._in_place(src, tgt, keys, stats), merge._by_lots(src, tgt, keys, match, stats, 4)):
+        assert sorted(r["k"] for r in out.collect()) == list(range(1, 200, 2))
+
+
+def test_filter_keeps_absent_keys_out_of_the_shuffle(spark, scratch, capsys):
+    from tierkit.operators.merge import new_rows
+
+    p = scratch("merge")
+    write_table(spark.range(0, 100_000).selectExpr("id as k", "'t' as v"), p)
+    src = spark.range(99_000, 101_000).selectExpr("id as k", "'s' as v")
+    out = new_rows(src, read_table(spark, p, "k long, v string"), merge_keys(["k"]), broadcast_max_bytes=6_000)
+    assert out.count() == 1000
+    out.explain()
+    assert "bitmap_construct_agg" in capsys.readouterr().out

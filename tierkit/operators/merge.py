@@ -1,6 +1,6 @@
 """Insert-only merge: append the source rows no target row matches.
 
-This is ``MERGE INTO target USING source ON <keys> WHEN NOT MATCHED THEN
+This is ``MERGE INTO target USING source ON <condition> WHEN NOT MATCHED THEN
 INSERT *`` with no update and no delete clause, built as a left anti join and
 a Parquet append:
 
@@ -10,16 +10,14 @@ a Parquet append:
   run; ``<=>`` treats nulls as equal;
 * an absent target is created from the whole source (no de-duplication).
 
-Plan.  The source is evaluated once and kept for the run.  Only the key columns
-of the target are read (Catalyst prunes the rest).  When the bytes of the source
-keys, summed before anything is broadcast, are within the session's bound, the
+Plan.  One scan of the source's keys sums their bytes and sketches the frequent
+ones.  Of the target only the keys are read, and what other terms of the
+condition name.  When the source keys' bytes are within the session's bound, the
 target is never shuffled: its keys are semi-joined against the broadcast source
-keys, the hits (no more than the source keys) are de-duplicated and broadcast
-back into the anti join.  Otherwise the target keys are de-duplicated map-side
-and the anti join shuffles both sides, but for the source's hot keys: there are
-at most as many as shuffle partitions, so their rows are decided map-side by a
-broadcast of those that the target holds.  Either way an empty insert set writes
-nothing, and rows are written in files of the advisory partition size.
+keys, and the hits (no more than the source keys) are broadcast back into the
+anti join.  Otherwise both sides shuffle: target rows first pass a bitmap of the
+source's key hashes, when that fits the bound, and rows of hot keys are dealt over
+several tasks.  Inserted rows are counted as they are written; none, no file.
 """
 
 from __future__ import annotations
@@ -35,77 +33,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierkit.operators._names import q, quote
-from tierkit.sources.tables import TableNotFound, read_table, write_table
+from tierkit.operators.membership import hashes_alike, key_filter, possible_rows
+from tierkit.operators.predicate import SOURCE_ALIAS, TARGET_ALIAS, KeyPair, MergePredicate, parse_predicate
+from tierkit.sources.commit import writer
+from tierkit.sources.tables import TableNotFound, read_table, scans_columns, write_table
 
-# The aliases a merge predicate uses for the two sides.
-SOURCE_ALIAS = "source"
-TARGET_ALIAS = "target"
+#: Bytes of a membership filter when the session broadcasts nothing by itself.
+FILTER_BYTES = 8 << 20
 
 
-class KeyPair(NamedTuple):
-    target: str
-    source: str
-    null_safe: bool
-
-
-_NAME = r"(?:`(?:[^`]|``)+`|[A-Za-z_][A-Za-z0-9_]*)"
-_SIDE = rf"({SOURCE_ALIAS}|{TARGET_ALIAS})\.({_NAME})"
-_CONJUNCT = re.compile(rf"^\(?\s*{_SIDE}\s*(<=>|==|=)\s*{_SIDE}\s*\)?$", re.IGNORECASE)
-
-
-def _unquote(name: str) -> str:
-    return name[1:-1].replace("``", "`") if name.startswith("`") else name
-
-
-def _has_or(text: str) -> bool:
-    """An ``OR`` outside quotes and parentheses."""
-    bare = re.sub(r"'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`", " ", text)
-    while (inner := re.sub(r"\([^()]*\)", " ", bare)) != bare:
-        bare = inner
-    return re.search(r"\bOR\b", bare, re.IGNORECASE) is not None
-
-
-def merge_predicate(predicate: str | Sequence[str] | Sequence[tuple[str, str]]) -> tuple[list[KeyPair], str | None]:
-    """Key pairs of a merge predicate, and the text of its other terms.
-
-    Accepts a predicate text made of ``target.a = source.b`` (or ``<=>``)
-    terms joined by ``AND`` with any further terms, a list of column names
-    present on both sides, or a list of ``(target, source)`` name pairs.  A
-    condition without an equality, or with ``OR`` between its terms, is
-    refused: it would compare every source row with every target row.
-    """
-    if not isinstance(predicate, str):
-        pairs = []
-        for item in predicate:
-            t, s = (item, item) if isinstance(item, str) else item
-            pairs.append(KeyPair(t, s, False))
-        if not pairs:
-            raise ValueError("a merge needs at least one key")
-        return pairs, None
-    if _has_or(predicate):
-        raise ValueError(f"unsupported merge predicate {predicate!r}: terms must be joined by AND")
-    pairs, rest = [], []
-    for term in re.split(r"\s+AND\s+", predicate.strip(), flags=re.IGNORECASE):
-        m = _CONJUNCT.match(term.strip())
-        sides = {m[1].lower(): _unquote(m[2]), m[4].lower(): _unquote(m[5])} if m else {}
-        if set(sides) == {SOURCE_ALIAS, TARGET_ALIAS}:
-            pairs.append(KeyPair(sides[TARGET_ALIAS], sides[SOURCE_ALIAS], m[3] == "<=>"))
-        else:
-            rest.append(term)
-    if not pairs:
-        raise ValueError(
-            f"unsupported merge predicate {predicate!r}: it needs an equality "
-            f"'{TARGET_ALIAS}.col = {SOURCE_ALIAS}.col' (or <=>)"
-        )
-    return pairs, " AND ".join(rest) or None
-
-
-def merge_keys(predicate: str | Sequence[str] | Sequence[tuple[str, str]]) -> list[KeyPair]:
-    """Key pairs of a predicate of equalities alone (see ``merge_predicate``)."""
-    pairs, rest = merge_predicate(predicate)
-    if rest is not None:
-        raise ValueError(f"unsupported merge predicate term {rest!r}: only equalities can stand here")
-    return pairs
+def merge_keys(predicate: str | Sequence[str] | Sequence[tuple[str, str]], spark: SparkSession | None = None) -> list[KeyPair]:
+    """Key pairs of a predicate of equalities alone (see ``parse_predicate``)."""
+    asked = parse_predicate(spark or SparkSession.active(), predicate)
+    if asked.condition is not None:
+        raise ValueError(f"unsupported merge predicate {predicate!r}: only equalities can stand here")
+    return asked.keys
 
 
 def _eq(left: Column, right: Column, null_safe: bool) -> Column:
@@ -166,13 +108,18 @@ def source_key_stats(source: DataFrame, keys: Sequence[KeyPair]) -> tuple[int |
     The bytes are those of the values and, per row, of the row that a broadcast
     relation keeps (``ROW_BYTES``); ``None`` if a key type has no known width.
     """
-    widths = [_width(q(k.source), source.schema[k.source].dataType) for k in keys]
-    known = all(w is not None for w in widths)
-    width = sum(widths, F.lit(ROW_BYTES)) if known else F.lit(0)
-    row = source.select(width.alias("w")).agg(
-        F.coalesce(F.sum("w"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")
-    ).first()
-    return (int(row["b"]) if known else None), int(row["n"])
+    stats = _key_stats(source, keys, None)
+    return stats.n_bytes, stats.rows
+
+
+class KeyStats(NamedTuple):
+    """Of a source: key bytes as broadcast, rows, and hashes of keys that may be
+    hot with an estimate of their rows."""
+
+    n_bytes: int | None
+    widest: int
+    rows: int
+    hot: list[tuple[int, int]]
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:
@@ -180,72 +127,147 @@ def _shuffle_partitions(spark: SparkSession) -> int:
     return int(raw) if raw.isdigit() and int(raw) > 0 else 200
 
 
-def _split_anti_join(
-    source: DataFrame, t_keys: DataFrame, keys: Sequence[KeyPair], total_rows: int, partitions: int
-) -> DataFrame:
+#: Counters that the sketch of frequent keys keeps per shuffle partition, within
+#: Spark's bound; it finds every key of more rows than the rows by a third of them.
+SKETCH_PER_PARTITION, SKETCH_MOST = 16, 1_000_000
+
+
+def _key_hash(source: DataFrame, keys: Sequence[KeyPair]) -> Column:
+    return F.xxhash64(*[q(k.source) for k in keys])
+
+
+def _key_stats(source: DataFrame, keys: Sequence[KeyPair], partitions: int | None) -> KeyStats:
+    """One scan without a shuffle of rows: sums, and for ``partitions`` a mergeable
+    sketch of the key hashes with more rows than an average task should hold.
+    Its size follows the partitions; a hash that is hot only by collision or
+    estimate does no harm, since hot keys are dealt otherwise, not differently."""
+    widths = [_width(q(k.source), source.schema[k.source].dataType) for k in keys]
+    known = all(w is not None for w in widths)
+    row = [(sum(widths, F.lit(ROW_BYTES)) if known else F.lit(0)).alias("w")]
+    sums = [F.coalesce(F.sum("w"), F.lit(0)).alias("b"), F.coalesce(F.max("w"), F.lit(0)).alias("most"), F.count(F.lit(1)).alias("n")]
+    if partitions is not None:
+        counters = min(SKETCH_MOST, max(1024, SKETCH_PER_PARTITION * partitions))
+        row.append(_key_hash(source, keys).alias("h"))
+        sums.append(F.expr(f"approx_top_k(h, {min(partitions, counters)}, {counters})").alias("top"))
+    found = source.select(*row).agg(*sums).first()
+    hot = []
+    if partitions is not None and found["n"]:
+        limit = max(1, int(found["n"]) // partitions)
+        hot = [(int(x["item"]), int(x["count"])) for x in found["top"] if x["count"] > limit]
+    return KeyStats(int(found["b"]) if known else None, int(found["most"]), int(found["n"]), hot)
+
+
+def _hot_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Some sixteen bytes a hot key, of which there are no more than shuffle
+    partitions: bounded, so broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, schema).coalesce(1))
+
+
+def _in_place(source: DataFrame, target: DataFrame, keys: Sequence[KeyPair], stats: KeyStats) -> DataFrame:
     """Shuffled anti join whose hot source keys never reach the shuffle.
 
-    A key is hot when it has more rows than an average task should hold
-    (``total_rows / partitions``); there are at most ``partitions`` such keys,
-    so the table of them, and of those that the target holds, is small by
-    construction and is broadcast.  Their rows are kept or dropped where they
-    are read; all other rows take the shuffled join.
+    The hot keys that the target holds are looked up by hash, and broadcast; the
+    caller has checked their bytes.  Rows of hot keys are kept or dropped where
+    they are read, all other rows take the shuffled join.
+    """
+    hot = _hot_table(source.sparkSession, [(h,) for h, _ in stats.hot], "__h0 long")
+    theirs = target.withColumn("__hash", F.xxhash64(*[F.col(f"__t{i}") for i in range(len(keys))]))
+    held = theirs.join(hot, F.col("__hash") == F.col("__h0"), "left_semi").drop("__hash").toDF(*[f"__m{i}" for i in range(len(keys))])
+    marked = source.withColumn("__hash", _key_hash(source, keys))
+    is_hot = F.col("__hash") == F.col("__h0")
+
+    def on(side: str) -> Column:
+        return _all([_eq(q(k.source), F.col(f"{side}{i}"), k.null_safe) for i, k in enumerate(keys)])
+
+    stay = marked.join(hot, is_hot, "left_semi").join(F.broadcast(held), on("__m"), "left_anti")
+    move = marked.join(hot, is_hot, "left_anti").join(target, on("__t"), "left_anti")
+    return stay.union(move).drop("__hash")
+
+
+#: Lots of a hot key for each task that its rows fill, so that hashing spreads them.
+LOTS_PER_TASK = 4
+
+
+def _by_lots(source: DataFrame, target: DataFrame, keys: Sequence[KeyPair], match: Column, stats: KeyStats, partitions: int) -> DataFrame:
+    """Shuffled anti join whose hot source keys are dealt over several tasks.
+
+    A hot key's rows get one of several lots, and the target's rows of that key
+    are copied to each lot, so every source row still meets all of them.
+    ``target`` holds distinct rows, its keys in ``__t0``, ``__t1`` and so on;
+    ``match`` is the condition on the two sides.
     """
-    limit = max(1, total_rows // partitions)
-    hot = (
-        source.groupBy(*[q(k.source).alias(f"__h{i}") for i, k in enumerate(keys)])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > limit)
-        .drop("__n")
-    )
-    held = _all([_eq(t_keys[f"__t{i}"], hot[f"__h{i}"], k.null_safe) for i, k in enumerate(keys)])
-    matched = t_keys.join(F.broadcast(hot), held, "left_semi").distinct()
-    matched = matched.toDF(*[f"__m{i}" for i in range(len(keys))])
-    is_hot = _all([source[quote(k.source)].eqNullSafe(hot[f"__h{i}"]) for i, k in enumerate(keys)])
-    in_target = _all([_eq(source[quote(k.source)], matched[f"__m{i}"], k.null_safe) for i, k in enumerate(keys)])
-    in_place = source.join(F.broadcast(hot), is_hot, "left_semi").join(F.broadcast(matched), in_target, "left_anti")
-    cold = source.join(F.broadcast(hot), is_hot, "left_anti")
-    others = t_keys.distinct()
-    on = _all([_eq(cold[quote(k.source)], others[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-    return in_place.unionByName(cold.join(others, on, "left_anti"))
+    if not stats.hot:
+        return source.alias(SOURCE_ALIAS).join(target.alias(TARGET_ALIAS), match, "left_anti")
+    limit = max(1, stats.rows // partitions)
+    lots = _hot_table(source.sparkSession, [(h, LOTS_PER_TASK * min(partitions, -(-n // limit))) for h, n in stats.hot], "__hot long, __lots int")
+    # Equal rows get different lots too, by their place in the source's tasks.
+    order = F.xxhash64(*[q(c) for c in source.columns if _hashable(source.schema[c].dataType)], F.monotonically_increasing_id())
+    marked = source.withColumn("__hash", _key_hash(source, keys)).join(lots, F.col("__hash") == F.col("__hot"), "left")
+    marked = marked.withColumn("__lot", F.coalesce(F.pmod(order, F.col("__lots")), F.lit(0)).cast("int")).drop("__hash", "__hot", "__lots")
+    theirs = F.xxhash64(*[F.col(f"__t{i}") for i in range(len(keys))])
+    copied = target.withColumn("__hash", theirs).join(lots, F.col("__hash") == F.col("__hot"), "left")
+    copied = copied.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__lots") - 1, F.lit(0)))))
+    copied = copied.drop("__hash", "__hot", "__lots")
+    joined = marked.alias(SOURCE_ALIAS).join(copied.alias(TARGET_ALIAS), match & (F.col("__lot") == F.col("__copy")), "left_anti")
+    return joined.drop("__lot")
+
+
+def _hashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType) or dtype.typeName() == "variant":
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    return True
+
+
+def _same_types(source: DataFrame, target: DataFrame, keys: Sequence[KeyPair]) -> bool:
+    return hashes_alike([source.schema[k.source].dataType for k in keys], [target.schema[k.target].dataType for k in keys])
 
 
 def _plan_new_rows(
     source: DataFrame,
     target: DataFrame,
-    keys: Sequence[KeyPair],
+    asked: MergePredicate,
     broadcast_max_bytes: int | None,
-    rest: str | None = None,
-) -> tuple[DataFrame, bool]:
-    """The anti-join plan, and whether it runs in the source's own tasks."""
+) -> tuple[DataFrame, KeyStats]:
+    """The anti-join plan, and what the scan of the source's keys found."""
     spark = source.sparkSession
+    keys = asked.keys
     limit = broadcast_limit(spark) if broadcast_max_bytes is None else broadcast_max_bytes
-    t_keys = target.select(*[q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)])
-    n_bytes, n_rows = source_key_stats(source, keys)
-    small = limit > 0 and n_bytes is not None and n_bytes <= limit
+    partitions = _shuffle_partitions(spark)
+    alike = _same_types(source, target, keys)
+    stats = _key_stats(source, keys, partitions if alike else None)
+    small = limit > 0 and stats.n_bytes is not None and stats.n_bytes <= limit
     s_keys = source.select(*[q(k.source).alias(f"__s{i}") for i, k in enumerate(keys)])
-
-    if rest is not None:
-        # Other terms may read any target column, so candidate rows are joined
-        # whole; a small source first cuts the target to rows of its keys.
-        if small:
-            same = _all([_eq(q(k.target), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
-            target = target.join(F.broadcast(s_keys), same, "left_semi")
-        left, right = source.alias(SOURCE_ALIAS), target.alias(TARGET_ALIAS)
-        equal = [
-            _eq(F.col(f"{TARGET_ALIAS}.{quote(k.target)}"), F.col(f"{SOURCE_ALIAS}.{quote(k.source)}"), k.null_safe) for k in keys
-        ]
-        return left.join(right, _all(equal) & F.expr(rest), "left_anti"), False
-
+    named = [q(k.target).alias(f"__t{i}") for i, k in enumerate(keys)]
+    # Of the target, only its keys and what the condition reads of it.
+    resolved = {c.lower(): c for c in target.columns}
+    read = [] if asked.condition is None else [resolved[c.lower()] for c in asked.target_columns if c.lower() in resolved]
+    theirs = target.select(*named, *[q(c) for c in dict.fromkeys(read)])
     if small:
-        # Broadcast the (measured) source keys; the target is only scanned.
+        # The target is only scanned: its rows of the (measured) source keys.
         semi = _all([_eq(F.col(f"__t{i}"), F.col(f"__s{i}"), k.null_safe) for i, k in enumerate(keys)])
-        # Target keys that occur in the source: no more than the source keys.
-        hits = t_keys.join(F.broadcast(s_keys), semi, "left_semi").distinct()
-        anti = _all([_eq(source[quote(k.source)], hits[f"__t{i}"], k.null_safe) for i, k in enumerate(keys)])
-        return source.join(F.broadcast(hits), anti, "left_anti"), True
-
-    return _split_anti_join(source, t_keys, keys, n_rows, _shuffle_partitions(spark)), False
+        theirs = theirs.join(F.broadcast(s_keys), semi, "left_semi")
+    elif alike:
+        # More source keys than can be broadcast, but perhaps not than bits for them:
+        # target rows whose key the source surely lacks stay out of the shuffle.
+        of = key_filter(s_keys, s_keys.columns, stats.rows, limit if limit > 0 else FILTER_BYTES)
+        if of is not None:
+            theirs = possible_rows(theirs, [f"__t{i}" for i in range(len(keys))], of)
+    if all(_hashable(f.dataType) for f in theirs.schema.fields):
+        theirs = theirs.distinct()
+    equal = _all([_eq(F.col(f"{SOURCE_ALIAS}.{quote(k.source)}"), F.col(f"{TARGET_ALIAS}.__t{i}"), k.null_safe) for i, k in enumerate(keys)])
+    match = equal if asked.condition is None else equal & F.expr(asked.condition)
+    if small and asked.condition is None:
+        # No more hits than source keys, so they go back to the source's own tasks.
+        theirs = F.broadcast(theirs)
+    if small or not alike:
+        return source.alias(SOURCE_ALIAS).join(theirs.alias(TARGET_ALIAS), match, "left_anti"), stats
+    if stats.hot and asked.condition is None and len(stats.hot) * stats.widest <= (limit if limit > 0 else FILTER_BYTES):
+        return _in_place(source, theirs, keys, stats), stats
+    return _by_lots(source, theirs, keys, match, stats, partitions), stats
 
 
 def new_rows(
@@ -255,7 +277,7 @@ def new_rows(
     broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of ``source`` that no ``target`` row matches on ``keys``."""
-    return _plan_new_rows(source, target, keys, broadcast_max_bytes)[0]
+    return _plan_new_rows(source, target, MergePredicate(list(keys), None, [k.target for k in keys]), broadcast_max_bytes)[0]
 
 
 def _check_schema(source: DataFrame, target_schema: T.StructType) -> DataFrame:
@@ -303,6 +325,14 @@ def _check_stored(spark: SparkSession, path: str, declared: T.StructType, parts:
     return True
 
 
+class MergeCounts(NamedTuple):
+    """Rows of the source, of them matched by the target, and inserted."""
+
+    read: int
+    matched: int
+    inserted: int
+
+
 def merge_insert_only(
     spark: SparkSession,
     new_df: DataFrame,
@@ -312,38 +342,39 @@ def merge_insert_only(
     partition_cols: str | Sequence[str] | None = None,
     broadcast_max_bytes: int | None = None,
     compact: bool = True,
-) -> None:
+) -> MergeCounts:
     """Insert the rows of ``new_df`` that match no row of the table at ``path``.
 
     ``schema`` is the table's declared schema (default: ``new_df``'s);
     columns are matched by name and must agree in name and type with each
     other and with the table's files.  An absent table is created from all of
     ``new_df``, partitioned by ``partition_cols``; appends must pass the same
-    partition columns.  Parquet appends are not transactional: one writer per
-    table.  ``compact=False`` keeps the source's row order in the files (a
-    rebalanced write does not), for tables whose stored order counts.
+    partition columns.  The table is held by one writer from its first read to
+    its last file (see ``sources.commit``); rows are counted as they are written,
+    and appear together.  ``compact=False`` keeps the source's row order in the
+    files (a rebalanced write does not), for tables whose stored order counts.
     """
-    keys, rest = merge_predicate(predicate)
-    missing = [k.source for k in keys if k.source not in new_df.columns]
+    asked = parse_predicate(spark, predicate)
+    missing = [k.source for k in asked.keys if k.source not in new_df.columns]
     if missing:
         raise KeyError(f"merge keys not in the source: {missing}")
     table_schema = schema if schema is not None else new_df.schema
     source = _check_schema(new_df, table_schema) if schema is not None else new_df
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols or ())
-    if not _check_stored(spark, path, table_schema, parts):
-        write_table(source, path, mode="errorifexists", partition_cols=parts, compact=compact)
-        return
-    target = read_table(spark, path, table_schema)
-    missing = [k.target for k in keys if k.target not in target.columns]
-    if missing:
-        raise KeyError(f"merge keys not in the target: {missing}")
-    kept = [source.persist(StorageLevel.MEMORY_AND_DISK)]
-    try:
-        inserts, in_place = _plan_new_rows(source, target, keys, broadcast_max_bytes, rest)
-        if not in_place:  # else looking for a first row and writing are two scans of the kept source
-            kept.append(inserts.persist(StorageLevel.MEMORY_AND_DISK))
-        if not inserts.isEmpty():
-            write_table(inserts, path, mode="append", partition_cols=parts, compact=compact)
-    finally:
-        for df in reversed(kept):
-            df.unpersist()
+    with writer(spark, path) as held:
+        if not _check_stored(spark, path, table_schema, parts):
+            inserted = write_table(source, path, mode="errorifexists", partition_cols=parts, compact=compact, held=held)
+            return MergeCounts(inserted, 0, inserted)
+        target = read_table(spark, path, table_schema)
+        missing = [k.target for k in asked.keys if k.target not in target.columns]
+        if missing:
+            raise KeyError(f"merge keys not in the target: {missing}")
+        # A scan of columns is cheap to repeat; anything else is evaluated once.
+        kept = None if scans_columns(source) else source.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            inserts, stats = _plan_new_rows(source, target, asked, broadcast_max_bytes)
+            inserted = write_table(inserts, path, mode="append", partition_cols=parts, compact=compact, held=held)
+        finally:
+            if kept is not None:
+                kept.unpersist()
+    return MergeCounts(stats.rows, stats.rows - inserted, inserted)

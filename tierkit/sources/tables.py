@@ -9,10 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import time
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierkit.sources.commit import Beside, publish, readable, staged, writer
+
 SAVE_MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
 
 
@@ -26,7 +31,8 @@ def _is_not_found(err: AnalysisException) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None, fmt: str = "parquet") -> DataFrame:
-    """Latest snapshot of the table at ``path``, all columns.
+    """Latest snapshot of the table at ``path``, all columns; a finished write
+    that is still being moved in (see ``commit``) counts.
 
     Raises :class:`TableNotFound` if the directory is absent; other errors
     propagate unchanged.
@@ -34,8 +40,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
+    at = readable(spark, path)
     try:
-        return reader.load(path)
+        return reader.load(path if at == [path] else at)
     except AnalysisException as err:
         if _is_not_found(err):
             raise TableNotFound(path) from err
@@ -46,7 +53,7 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """True if ``path`` holds a table (an existing directory)."""
     try:
         # A text reader lists files only; it never needs a schema.
-        spark.read.format("text").load(path)
+        spark.read.format("text").load(readable(spark, path)[0])
         return True
     except AnalysisException as err:
         if _is_not_found(err):
@@ -81,6 +88,29 @@ def _scan_roots(df: DataFrame) -> list[str]:
     return out
 
 
+# Plan nodes that read and narrow columns, row by row.
+_NARROW = {"Project", "Filter", "SubqueryAlias", "Union", "LogicalRelation"}
+
+
+def scans_columns(df: DataFrame) -> bool:
+    """True if ``df`` does no more than read, filter and compute columns of Parquet
+    or ORC files, so that reading a few of its columns again is cheap."""
+    below = [df._jdf.queryExecution().analyzed()]
+    while below:
+        node = below.pop()
+        if node.getClass().getSimpleName() not in _NARROW:
+            return False
+        if node.getClass().getSimpleName() == "LogicalRelation":
+            relation = node.relation()
+            if relation.getClass().getSimpleName() != "HadoopFsRelation":
+                return False
+            if relation.fileFormat().getClass().getSimpleName() not in ("ParquetFileFormat", "OrcFileFormat"):
+                return False
+        children = node.children()
+        below += [children.apply(i) for i in range(children.size())]
+    return True
+
+
 def reads_from(df: DataFrame, path: str) -> bool:
     """True if the plan of ``df`` reads ``path``, something under it, or a
     folder that holds it."""
@@ -109,6 +139,16 @@ def _aqe_on(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").strip().lower() == "true"
 
 
+def _rows_written(spark: SparkSession, seen: Observation, folder: str, fmt: str) -> int:
+    """What the write counted; if its plan had no place to count, the files say."""
+    for _ in range(20):
+        told = seen._jo.getOrEmpty()
+        if told.contains("rows"):
+            return int(told.apply("rows"))
+        time.sleep(0.05)
+    return spark.read.format(fmt).load(folder).count()
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -117,14 +157,21 @@ def write_table(
     fmt: str = "parquet",
     rebalance: bool = True,
     compact: bool = False,
-) -> None:
-    """Write ``df`` to ``path`` with a save mode, optionally partitioned.
+    held: Beside | None = None,
+) -> int:
+    """Write ``df`` to ``path`` with a save mode, optionally partitioned; returns
+    the rows written, counted on the way.
 
     * ``overwrite`` replaces the whole table (static overwrite, whatever the
       session's partition-overwrite setting), ``append`` adds files,
       ``error`` raises if the table exists, ``ignore`` does nothing then.
-    * Overwriting a table the plan itself reads is refused up front: Spark
-      would delete the input before the job reads it.
+    * Rows are written beside the table and moved in when all are there, so a
+      write that fails leaves the table as it was; one that dies while moving is
+      finished by whoever writes next, and read right until then.  An append of
+      no row adds no file.
+    * A table has one writer at a time; a second is refused (``commit.writer``).
+      ``held`` is the caller's hold on it, if it has one.
+    * Overwriting a table the plan itself reads is refused up front.
     * A partitioned write first rebalances on the partition columns, so each
       partition value lands in few, evenly sized files; AQE splits a hot value
       (one capture is one value) over many tasks instead of one.
@@ -144,6 +191,16 @@ def write_table(
         raise ValueError(f"refusing to write {path}: a stream's file sink writes this table")
     if mode == "overwrite" and reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
+    if held is None:
+        with writer(df.sparkSession, path) as held:
+            return write_table(df, path, mode, partition_cols, fmt, rebalance, compact, held)
+    there = held.fs.exists(held.table)
+    if there and mode == "ignore":
+        return 0
+    if there and mode in ("error", "errorifexists"):
+        df.write.format(fmt).mode(mode).save(path)  # raises as Spark does
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if parts and rebalance and _aqe_on(df):
         # Without AQE a rebalance is a plain hash repartition on the partition
         # columns, which would put one capture in one task: keep the input's
@@ -153,7 +210,18 @@ def write_table(
         # Small, frequent appends: let AQE pack the rows into few files of the
         # advisory size instead of one file per input partition.
         df = df.hint("rebalance")
-    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
+    folder = staged(held)
+    writing = df.write.format(fmt).mode("errorifexists")
     if parts:
-        writer = writer.partitionBy(*parts)
-    writer.save(path)
+        writing = writing.partitionBy(*parts)
+    try:
+        writing.save(folder)
+        rows = _rows_written(df.sparkSession, seen, folder, fmt)
+    except BaseException:
+        held.fs.delete(held.path(folder), True)
+        raise
+    if rows == 0 and there and mode == "append":
+        held.fs.delete(held.path(folder), True)
+    else:
+        publish(held, folder, replace=mode == "overwrite" or not there)
+    return rows
