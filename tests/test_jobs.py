@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from helpers import write_text
+from tierkit.sources import ingest_envelope, read_table, write_table
 from tierkit.plans import LakePaths, bronze_dimension, bronze_fact, full_run, silver_dimension, silver_fact
 from tierkit.plans.feeds import transit_feeds
 from tierkit.plans.jobs import (
@@ -15,7 +16,6 @@ from tierkit.plans.jobs import (
     silver_dimension_schema,
     silver_fact_schema,
 )
-from tierkit.sources import read_table
 
 CAPTURE = dt.datetime(2025, 1, 1, 23, 32, 35)
 
@@ -265,3 +265,35 @@ def test_command_line_requires_landing_for_raw_layer(capsys):
     with pytest.raises(SystemExit):
         main(["bronze", "--lake", "/nowhere"])
     assert "--stops and --positions are required" in capsys.readouterr().err
+
+
+def test_first_by_landing_order_whatever_wrote_the_raw_table(spark, scratch):
+    import glob
+    import os
+    import random
+
+    from pyspark.sql import functions as F
+
+    stops, _ = transit_feeds()
+    rng = random.Random(4)
+    landing = scratch("landing")
+    for n, when in ((0, 2_000_000_100), (1, 2_000_000_050), (2, 2_000_000_200)):  # the second file landed first
+        body = [{"StopID": str(1 + i % 7) if i % 2 else f"0{1 + i % 7}", "Name": f"file {n} row {i}", "Lon": 1.0, "Lat": 2.0, "Routes": ["A"]} for i in range(30)]
+        os.utime(write_text(landing, f"f{n}.json", json.dumps({"Stops": body})), (when, when))
+    # Raw keys are texts: "1" and "01" meet only after the cast, so the first of either counts.
+    want = {1 + i % 7: f"file 1 row {i}" for i in reversed(range(30))}
+    for _ in range(20):
+        lake = LakePaths(scratch("lake"))
+        rows = ingest_envelope_rows(spark, stops, landing).repartition(rng.randint(1, 6), F.rand(rng.randint(0, 99)))
+        write_table(rows, lake.bronze(stops.name))
+        for f in glob.glob(lake.bronze(stops.name).replace("file:", "") + "/*.parquet"):
+            os.utime(f, (rng.randint(1, 10**9),) * 2)  # as if tasks had finished in another order
+        silver_dimension(spark, stops, lake)
+        got = read_table(spark, lake.silver(stops.name), silver_dimension_schema(stops)).collect()
+        assert {r["StopID"]: r["Stop_Name"] for r in got} == want
+
+
+def ingest_envelope_rows(spark, feed, landing):
+    from tierkit.sources.envelope import LANDED
+
+    return ingest_envelope(spark, landing, feed.data_field, feed.record_schema, order_col=LANDED)

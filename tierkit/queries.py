@@ -50,6 +50,7 @@ from tierkit.plans.jobs import (
 )
 from tierkit.session import scratch_path
 from tierkit.sources import ingest_envelope, read_table, write_envelopes, write_table
+from tierkit.sources.envelope import LANDED
 from tierkit.streaming import incremental_append, incremental_merge
 
 # Declared schemas of the driver's tables (never inferred).
@@ -302,6 +303,33 @@ def q_merge_residual_shuffled(spark, sf_dir):
     return _residual(spark, sf_dir, 0)
 
 
+def _merge_under(spark, sf_dir, predicate, label, broadcast_max_bytes):
+    customer = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, label)
+    write_table(customer.where(F.col("c_nationkey") < 15), path)
+    changed = customer.withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    merge_insert_only(spark, changed, path, predicate, schema=_schema(customer), broadcast_max_bytes=broadcast_max_bytes)
+    return read_table(spark, path, _schema(customer))
+
+
+def q_merge_grouped_terms(spark, sf_dir):
+    """Equalities inside parentheses or under NOT are terms, not keys."""
+    predicate = (
+        "target.c_custkey = source.c_custkey AND (target.c_name = source.c_name AND target.c_nationkey < 10) "
+        "AND NOT (target.c_mktsegment = 'BUILDING' AND target.c_acctbal < source.c_acctbal)"
+    )
+    return _merge_under(spark, sf_dir, predicate, "merge-grouped", 0)
+
+
+def q_merge_quoted_and(spark, sf_dir):
+    """A quoted text that reads like a term is a text; BETWEEN has an AND of its own."""
+    predicate = (
+        "target.c_custkey = source.c_custkey AND target.c_mktsegment <> 'x AND target.c_acctbal = source.c_acctbal AND y' "
+        "AND source.c_nationkey BETWEEN 3 AND 20"
+    )
+    return _merge_under(spark, sf_dir, predicate, "merge-quoted", None)
+
+
 def q_merge_column_order(spark, sf_dir):
     """Columns are matched by name, checked against the table's files."""
     supplier = table(spark, sf_dir, "supplier")
@@ -392,6 +420,21 @@ def q_dedup_stored_order(spark, sf_dir):
     return dedup_first(read_table(spark, path, _schema(orders)), "o_orderkey")
 
 
+def q_dedup_landing_order(spark, sf_dir):
+    """Keep-first by landing place: of two landings of the same stops the first
+    wins, though the raw table was written anew in another order."""
+    stops, _ = transit_feeds()
+    records = stop_records(table(spark, sf_dir, "part"))
+    later = records.withColumn("Name", F.upper("Name")).withColumn("Lon", F.col("Lon") + 1)
+    landings = [_land(x, spark, "landing-order", stops.data_field) for x in (records, later)]
+    path = scratch_path(spark, "landing-order-raw")
+    for landing in reversed(landings):
+        rows = ingest_envelope(spark, landing, stops.data_field, stops.record_schema, multi_line=False, order_col=LANDED)
+        write_table(rows.repartition(5, "Name"), path, mode="append")
+    raw = spark.read.parquet(path)
+    return dedup_first(raw, "StopID", LANDED).select("StopID", "Name", "Lon", "Lat", F.array_join("Routes", "|").alias("Routes"))
+
+
 def q_dedup_composite(spark, sf_dir):
     return dedup_first(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
 
@@ -541,8 +584,19 @@ def q_fact_history(spark, sf_dir):
     bronze_fact(spark, positions, early, lake, CAPTURE, multi_line=False)
     bronze_fact(spark, positions, late, lake, LATER, multi_line=False)
     silver_fact(spark, dataclasses.replace(positions, write_mode="overwrite"), lake, LATER)
-    back = read_table(spark, lake.silver(positions.name), silver_fact_schema(positions))
-    return back.select("VehicleID", "DateTime", "TripID", "BlockNumber", "Deviation", "fecha_consulta", "hora_consulta")
+    return read_table(spark, lake.silver(positions.name), silver_fact_schema(positions))
+
+
+def q_fact_history_raw(spark, sf_dir):
+    """The raw fact table after two captures in append mode: both, whole."""
+    _, positions = transit_feeds()
+    positions = _ordered(dataclasses.replace(positions, write_mode="append"))
+    lake = LakePaths(scratch_path(spark, "fact-history-raw"))
+    events = table(spark, sf_dir, "events")
+    for rows, capture in ((events.where(F.col("event_type") == "view"), CAPTURE), (events, LATER)):
+        landing = _land(position_records(rows), spark, "landing-positions", positions.data_field)
+        bronze_fact(spark, positions, landing, lake, capture, multi_line=False)
+    return read_table(spark, lake.bronze(positions.name), bronze_fact_schema(positions))
 
 
 def q_full_run(spark, sf_dir):
@@ -650,6 +704,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_read": q_partitioned_read,
     "merge_residual": q_merge_residual,
     "merge_residual_shuffled": q_merge_residual_shuffled,
+    "merge_grouped_terms": q_merge_grouped_terms,
+    "merge_quoted_and": q_merge_quoted_and,
+    "dedup_landing_order": q_dedup_landing_order,
+    "fact_history_raw": q_fact_history_raw,
     "merge_column_order": q_merge_column_order,
     "impute_nan": q_impute_nan,
     "parse_list_long": q_parse_list_long,
@@ -704,6 +762,20 @@ _RAW_POSITION = (
     "NULLIF(event_type, 'error') AS BlockNumber"
 )
 _CHILD = "SELECT CAST(p_partkey AS INTEGER) AS StopID, unnest(string_split(p_name, ' ')) AS Routes FROM part"
+_REFINED_POSITION = (
+    "CAST(user_id AS SMALLINT) AS VehicleID, value / 100.0 AS Lat, -value / 100.0 AS Lon, value AS Deviation, "
+    "ts AS DateTime, CAST(event_id AS INTEGER) AS TripID, event_type AS RouteID, "
+    "CAST(CASE WHEN value >= 0 THEN 0 ELSE 1 END AS TINYINT) AS DirectionNum, "
+    "CASE WHEN value >= 0 THEN 'NORTH' ELSE 'SOUTH' END AS DirectionText, upper(event_type) AS TripHeadsign, "
+    "CAST(date_trunc('hour', ts) AS TIMESTAMP) AS TripStartTime, "
+    "CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 3599 SECOND AS TripEndTime, "
+    "COALESCE(NULLIF(event_type, 'error'), 'Null') AS BlockNumber"
+)
+_UNDER = (
+    "WITH t AS (SELECT * FROM customer WHERE c_nationkey < 15), "
+    "s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer) "
+    "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey = s.c_custkey AND {})"
+)
 _FIRST_POSITION = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1"
 
 ORACLE_SQL: dict[str, str] = {
@@ -729,6 +801,14 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "merge_residual": _RESIDUAL,
     "merge_residual_shuffled": _RESIDUAL,
+    "merge_grouped_terms": _UNDER.format(
+        "t.c_name = s.c_name AND t.c_nationkey < 10 AND NOT (t.c_mktsegment = 'BUILDING' AND t.c_acctbal < s.c_acctbal)"
+    ),
+    "merge_quoted_and": _UNDER.format("s.c_nationkey BETWEEN 3 AND 20"),
+    "dedup_landing_order": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS StopID, p_name AS Name, p_retailprice AS Lon, "
+        "CAST(p_size AS DOUBLE) AS Lat, replace(p_name, ' ', '|') AS Routes FROM part"
+    ),
     "merge_column_order": "SELECT * FROM supplier",
     "impute_nan": (
         "SELECT event_id, CASE WHEN value < 0 OR event_type = 'error' THEN 0.5::DOUBLE ELSE value END AS value FROM events"
@@ -818,20 +898,11 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(p_size AS DOUBLE) AS Lat FROM part"
     ),
     "silver_child": _CHILD,
-    "silver_fact": (
-        "SELECT CAST(user_id AS SMALLINT) AS VehicleID, value / 100.0 AS Lat, -value / 100.0 AS Lon, value AS Deviation, "
-        "ts AS DateTime, CAST(event_id AS INTEGER) AS TripID, event_type AS RouteID, "
-        "CAST(CASE WHEN value >= 0 THEN 0 ELSE 1 END AS TINYINT) AS DirectionNum, "
-        "CASE WHEN value >= 0 THEN 'NORTH' ELSE 'SOUTH' END AS DirectionText, upper(event_type) AS TripHeadsign, "
-        "CAST(date_trunc('hour', ts) AS TIMESTAMP) AS TripStartTime, "
-        "CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 3599 SECOND AS TripEndTime, "
-        "COALESCE(NULLIF(event_type, 'error'), 'Null') AS BlockNumber, "
-        f"DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events {_FIRST_POSITION}"
-    ),
-    "fact_history": (
-        "SELECT CAST(user_id AS SMALLINT) AS VehicleID, ts AS DateTime, CAST(event_id AS INTEGER) AS TripID, "
-        "COALESCE(NULLIF(event_type, 'error'), 'Null') AS BlockNumber, value AS Deviation, "
-        f"DATE '2025-01-02' AS fecha_consulta, '00:02:35' AS hora_consulta FROM events {_FIRST_POSITION}"
+    "silver_fact": f"SELECT {_REFINED_POSITION}, DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events {_FIRST_POSITION}",
+    "fact_history": f"SELECT {_REFINED_POSITION}, DATE '2025-01-02' AS fecha_consulta, '00:02:35' AS hora_consulta FROM events {_FIRST_POSITION}",
+    "fact_history_raw": (
+        f"SELECT {_RAW_POSITION}, DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events WHERE event_type = 'view' "
+        f"UNION ALL SELECT {_RAW_POSITION}, DATE '2025-01-02' AS fecha_consulta, '00:02:35' AS hora_consulta FROM events"
     ),
     "full_run": (
         "SELECT 'bronze_stops' AS table_name, CAST(p_partkey AS VARCHAR) AS k, p_name AS v, p_retailprice AS x FROM part "

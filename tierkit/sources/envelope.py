@@ -13,6 +13,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Column of a row's landing place, and its parts: the landed file (when, which),
+#: the stretch of the file a task read, the response there, the place in it.
+LANDED = "_landed"
+LANDED_TYPE = T.StructType(
+    [
+        T.StructField("at", T.TimestampType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("response", T.LongType()),
+        T.StructField("place", T.IntegerType()),
+    ]
+)
+
+
+def landing_place(place: Column, response: Column | None = None) -> Column:
+    """Where a row landed, as one value that sorts in landing order.
+
+    All of it is the landed file's own, so it is the same however often, and with
+    whatever tasks, the file is ingested; the order of two rows never changes.
+    ``response`` numbers the responses that a task reads, in order."""
+    parts = (
+        F.col("_metadata.file_modification_time").cast("timestamp"),
+        F.col("_metadata.file_path"),
+        F.col("_metadata.file_block_start").cast("long"),
+        F.lit(0).cast("long") if response is None else response,
+        place.cast("int"),
+    )
+    return F.struct(*[c.alias(f.name) for c, f in zip(parts, LANDED_TYPE.fields)])
+
+
 def envelope_schema(data_field: str, record_schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(data_field, T.ArrayType(record_schema, True), True)])
 
@@ -68,6 +98,7 @@ def ingest_envelope(
     record_schema: T.StructType | None,
     multi_line: bool = True,
     infer_schema: bool = False,
+    order_col: str | None = None,
     **options: str,
 ) -> DataFrame:
     """One row per element of ``data_field`` across all responses under ``path``.
@@ -79,14 +110,21 @@ def ingest_envelope(
 
     The record schema is declared; ``infer_schema=True`` (with
     ``record_schema=None``) learns it from the files instead, at the cost of
-    one more pass over them.
+    one more pass over them.  ``order_col`` names a column for each row's landing
+    place (see ``landing_place``), to be stored with it.
     """
     if record_schema is None:
         if not infer_schema:
             raise ValueError("pass record_schema, or infer_schema=True to learn it from the files")
         record_schema = infer_record_schema(spark, path, data_field, multi_line)
     raw = read_envelopes(spark, path, data_field, record_schema, multi_line=multi_line, **options)
-    return raw.select(F.inline(required_rows(data_field, record_schema)))
+    rows = required_rows(data_field, record_schema)
+    if order_col is None:
+        return raw.select(F.inline(rows))
+    # Such an id rises with the rows of a task, and a task reads a file's stretch in order.
+    at = raw.select("*", F.monotonically_increasing_id().alias("__response"), F.col("_metadata"), F.posexplode(rows).alias("__place", "__row"))
+    fields = [F.col("__row").getField(f.name).alias(f.name) for f in record_schema.fields]
+    return at.select(*fields, landing_place(F.col("__place"), F.col("__response")).alias(order_col))
 
 
 def write_envelopes(

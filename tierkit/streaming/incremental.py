@@ -30,9 +30,9 @@ from tierkit.operators.nested import flatten
 from tierkit.operators._names import quote
 from tierkit.operators.merge import merge_insert_only
 from tierkit.operators.stamp import DATE_COL, TIME_COL, stamp_capture
-from tierkit.sources.envelope import required_rows, read_envelopes
+from tierkit.sources.envelope import LANDED, landing_place, read_envelopes, required_rows
 
-_ORDER = ["__landed", "__file", "__pos"]
+_ORDER = ["__landed"]
 
 # A backlog is drained in batches of at most this many landed files, so a
 # micro-batch (which the merge keeps in memory/disk) stays bounded.
@@ -50,12 +50,8 @@ def landed_rows(
     """Streaming frame of response rows with their landing order."""
     options = {} if max_files_per_trigger is None else {"maxFilesPerTrigger": str(max_files_per_trigger)}
     raw = read_envelopes(spark, landing, data_field, record_schema, multi_line=multi_line, stream=True, **options)
-    exploded = raw.select(
-        F.col("_metadata.file_modification_time").alias("__landed"),
-        F.col("_metadata.file_path").alias("__file"),
-        F.posexplode(required_rows(data_field, record_schema)).alias("__pos", "__row"),
-    )
-    return exploded.select(*_ORDER, *[F.col("__row").getField(f.name).alias(f.name) for f in record_schema.fields])
+    exploded = raw.select("_metadata", F.posexplode(required_rows(data_field, record_schema)).alias("__pos", "__row"))
+    return exploded.select(landing_place(F.col("__pos")).alias("__landed"), *[F.col("__row").getField(f.name).alias(f.name) for f in record_schema.fields])
 
 
 def incremental_merge(
@@ -92,9 +88,11 @@ def incremental_merge(
         # The merge runs two jobs over the batch (size check, then the write);
         # keep the de-duplicated batch — bounded by max_files_per_trigger —
         # instead of parsing its files twice.
-        rows = dedup_first(batch, keys, _ORDER).drop(*_ORDER)
+        rows = dedup_first(batch, keys, _ORDER).withColumnRenamed("__landed", LANDED)
         if flatten_sep is not None:
-            rows = flatten(rows, flatten_sep)
+            rows = flatten(rows, flatten_sep, keep=(LANDED,))
+        if LANDED not in schema.names:
+            rows = rows.drop(LANDED)
         first = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             merge_insert_only(batch.sparkSession, first, target, predicate, schema=schema, partition_cols=partition_cols, compact=False)
