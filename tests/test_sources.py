@@ -162,3 +162,19 @@ def test_ingest_with_inferred_schema(spark, scratch):
     assert out.count() == 2
     with pytest.raises(ValueError, match="no response"):
         ingest_envelope(spark, d, "Missing", None, infer_schema=True)
+
+
+def test_undeclared_fields_fail_are_kept_or_ignored(spark, scratch):
+    d = scratch("drift")
+    write_text(d, "a.json", '{"Stops": [{"StopID": "1", "Zone": {"a": 1}, "New": null}, {"StopID": "2"}, null]}')
+    write_text(d, "b.json", '{"Stops": []}')
+    with pytest.raises(Exception, match="undeclared fields Zone, New.*a.json"):
+        ingest_envelope(spark, d, "Stops", spark.createDataFrame([], RECORD).schema).collect()
+    schema = spark.createDataFrame([], RECORD).schema
+    kept = {r["StopID"]: r["_unknown"] for r in ingest_envelope(spark, d, "Stops", schema, unknown_fields="keep").collect()}
+    assert kept == {"1": '{"Zone":"{\\"a\\":1}","New":null}', "2": None, None: None} or kept["1"].startswith('{"Zone":')
+    assert kept["2"] is None
+    ignored = ingest_envelope(spark, d, "Stops", schema, unknown_fields="ignore")
+    assert sorted(str(r["StopID"]) for r in ignored.collect()) == ["1", "2", "None"]
+    with pytest.raises(ValueError):
+        ingest_envelope(spark, d, "Stops", schema, unknown_fields="other")

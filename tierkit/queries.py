@@ -50,7 +50,7 @@ from tierkit.plans.jobs import (
 )
 from tierkit.session import scratch_path
 from tierkit.sources import ingest_envelope, read_table, write_envelopes, write_table
-from tierkit.sources.envelope import LANDED
+from tierkit.sources.envelope import LANDED, UNKNOWN
 from tierkit.streaming import incremental_append, incremental_merge
 
 # Declared schemas of the driver's tables (never inferred).
@@ -165,6 +165,19 @@ def q_envelope_nested(spark, sf_dir):
     return flatten(records, sep="__")
 
 
+def q_envelope_drift(spark, sf_dir):
+    """Responses with fields that the schema lacks: kept beside the record."""
+    stops, _ = transit_feeds()
+    part = table(spark, sf_dir, "part")
+    records = stop_records(part.where(F.col("p_size") <= 25)).withColumn("Zone", F.lit("Z1"))
+    landing = _land(records, spark, "landing-drift", stops.data_field)
+    plain = _land(stop_records(part.where(F.col("p_size") > 25)), spark, "landing-drift", stops.data_field)
+    rows = [
+        ingest_envelope(spark, at, stops.data_field, stops.record_schema, multi_line=False, unknown_fields="keep") for at in (landing, plain)
+    ]
+    return rows[0].union(rows[1]).select("StopID", "Name", F.col(UNKNOWN).alias("unknown"))
+
+
 def q_json_flatten(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     nested = events.select("event_id", "user_id", F.from_json("props", "k bigint").alias("props"))
@@ -707,6 +720,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_grouped_terms": q_merge_grouped_terms,
     "merge_quoted_and": q_merge_quoted_and,
     "dedup_landing_order": q_dedup_landing_order,
+    "envelope_drift": q_envelope_drift,
     "fact_history_raw": q_fact_history_raw,
     "merge_column_order": q_merge_column_order,
     "impute_nan": q_impute_nan,
@@ -805,6 +819,10 @@ ORACLE_SQL: dict[str, str] = {
         "t.c_name = s.c_name AND t.c_nationkey < 10 AND NOT (t.c_mktsegment = 'BUILDING' AND t.c_acctbal < s.c_acctbal)"
     ),
     "merge_quoted_and": _UNDER.format("s.c_nationkey BETWEEN 3 AND 20"),
+    "envelope_drift": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS StopID, p_name AS Name, "
+        "CASE WHEN p_size <= 25 THEN '{\"Zone\":\"Z1\"}' END AS unknown FROM part"
+    ),
     "dedup_landing_order": (
         "SELECT CAST(p_partkey AS VARCHAR) AS StopID, p_name AS Name, p_retailprice AS Lon, "
         "CAST(p_size AS DOUBLE) AS Lat, replace(p_name, ' ', '|') AS Routes FROM part"

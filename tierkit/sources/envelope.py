@@ -54,6 +54,12 @@ def required_rows(data_field: str, record_schema: T.StructType) -> Column:
     return F.coalesce(F.col(data_field), F.raise_error(msg).cast(arr_type))
 
 
+#: What to do with fields that the record schema does not declare, and the column
+#: that holds them when they are kept.
+UNKNOWN_FIELDS = ("fail", "keep", "ignore")
+UNKNOWN = "_unknown"
+
+
 def read_envelopes(
     spark: SparkSession,
     path: str,
@@ -61,18 +67,51 @@ def read_envelopes(
     record_schema: T.StructType,
     multi_line: bool = True,
     stream: bool = False,
+    unknown_fields: str = "ignore",
     **options: str,
 ) -> DataFrame:
-    """The raw envelope frame (one row per response), batch or streaming."""
+    """The raw envelope frame (one row per response), batch or streaming.
+
+    Records with fields that ``record_schema`` lacks are refused (``"fail"``, names
+    them and their file), or keep those in ``UNKNOWN``, JSON text by name, null if
+    there are none (``"keep"``); either parses the text a second time, for names.
+    ``"ignore"`` drops them.  Only a record's own fields are looked at, not those
+    of objects inside it.
+    """
+    if unknown_fields not in UNKNOWN_FIELDS:
+        raise ValueError(f"unknown_fields must be one of {UNKNOWN_FIELDS}, got {unknown_fields!r}")
     reader = spark.readStream if stream else spark.read
-    reader = (
-        reader.schema(envelope_schema(data_field, record_schema))
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-    )
+    schema = envelope_schema(data_field, record_schema)
+    if unknown_fields == "ignore":
+        reader = reader.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+        for k, v in options.items():
+            reader = reader.option(k, v)
+        return reader.json(path)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.json(path)
+    raw = reader.text(path, wholetext=multi_line).where(F.col("value").rlike(r"\S"))  # the JSON reader passes over blank lines too
+    names = T.StructType([T.StructField(data_field, T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
+    field = f"`{data_field}`"
+    # A text that does not parse under the schema comes back here, so the error can name its file.
+    bad = T.StructField("__bad", T.StringType())
+    whole = F.from_json("value", T.StructType([*schema.fields, bad]), {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad.name})
+    parsed = raw.select(whole.alias("__whole"), F.from_json("value", names, options).getField(data_field).alias("__names"), F.col("_metadata"))
+    malformed = F.concat(F.lit("not a response of the declared schema: "), F.col("_metadata.file_path"))
+    rows = F.when(F.col("__whole.__bad").isNotNull(), F.raise_error(malformed).cast(T.ArrayType(record_schema, True)))
+    parsed = parsed.select(rows.otherwise(F.col("__whole").getField(data_field)).alias(data_field), "__names", "_metadata")
+    declared = F.array(*[F.lit(f.name) for f in record_schema.fields])
+    others = F.transform("__names", lambda m: F.map_filter(m, lambda k, _: ~F.array_contains(declared, k)))
+    if unknown_fields == "fail":
+        found = F.array_distinct(F.flatten(F.transform(F.filter(others, lambda m: m.isNotNull()), lambda m: F.map_keys(m))))
+        told = F.concat(F.lit("records have undeclared fields "), F.array_join(found, ", "), F.lit(": "), F.col("_metadata.file_path"))
+        checked = F.when(F.size(found) > 0, F.raise_error(told).cast(T.ArrayType(record_schema, True))).otherwise(F.col(field))
+        return parsed.select(checked.alias(data_field), "_metadata")
+    kept = F.zip_with(
+        F.col(field),
+        others,
+        lambda r, m: F.when(r.isNotNull(), F.struct(*[r.getField(f.name).alias(f.name) for f in record_schema.fields], F.when(F.size(m) > 0, F.to_json(m)).alias(UNKNOWN))),
+    )
+    return parsed.select(kept.alias(data_field), "_metadata")
 
 
 def infer_record_schema(
@@ -99,6 +138,7 @@ def ingest_envelope(
     multi_line: bool = True,
     infer_schema: bool = False,
     order_col: str | None = None,
+    unknown_fields: str = "fail",
     **options: str,
 ) -> DataFrame:
     """One row per element of ``data_field`` across all responses under ``path``.
@@ -111,13 +151,17 @@ def ingest_envelope(
     The record schema is declared; ``infer_schema=True`` (with
     ``record_schema=None``) learns it from the files instead, at the cost of
     one more pass over them.  ``order_col`` names a column for each row's landing
-    place (see ``landing_place``), to be stored with it.
+    place (see ``landing_place``), to be stored with it.  ``unknown_fields`` says
+    what becomes of fields outside the schema (see ``read_envelopes``): by default
+    they are refused, not dropped without a word.
     """
     if record_schema is None:
         if not infer_schema:
             raise ValueError("pass record_schema, or infer_schema=True to learn it from the files")
         record_schema = infer_record_schema(spark, path, data_field, multi_line)
-    raw = read_envelopes(spark, path, data_field, record_schema, multi_line=multi_line, **options)
+    raw = read_envelopes(spark, path, data_field, record_schema, multi_line=multi_line, unknown_fields=unknown_fields, **options)
+    if unknown_fields == "keep":
+        record_schema = T.StructType([*record_schema.fields, T.StructField(UNKNOWN, T.StringType(), True)])
     rows = required_rows(data_field, record_schema)
     if order_col is None:
         return raw.select(F.inline(rows))

@@ -49,7 +49,7 @@ def landed_rows(
 ) -> DataFrame:
     """Streaming frame of response rows with their landing order."""
     options = {} if max_files_per_trigger is None else {"maxFilesPerTrigger": str(max_files_per_trigger)}
-    raw = read_envelopes(spark, landing, data_field, record_schema, multi_line=multi_line, stream=True, **options)
+    raw = read_envelopes(spark, landing, data_field, record_schema, multi_line=multi_line, stream=True, unknown_fields="fail", **options)
     exploded = raw.select("_metadata", F.posexplode(required_rows(data_field, record_schema)).alias("__pos", "__row"))
     return exploded.select(landing_place(F.col("__pos")).alias("__landed"), *[F.col("__row").getField(f.name).alias(f.name) for f in record_schema.fields])
 
@@ -126,7 +126,7 @@ def incremental_append(
     run's capture (``capture_ts``, default: now) and partitioned by it."""
     ts = dt.datetime.now().replace(microsecond=0) if capture_ts is None else capture_ts
     options = {} if max_files_per_trigger is None else {"maxFilesPerTrigger": str(max_files_per_trigger)}
-    raw = read_envelopes(spark, landing, data_field, record_schema, multi_line=multi_line, stream=True, **options)
+    raw = read_envelopes(spark, landing, data_field, record_schema, multi_line=multi_line, stream=True, unknown_fields="fail", **options)
     rows = stamp_capture(raw.select(F.inline(required_rows(data_field, record_schema))), ts)
     query = (
         rows.writeStream.format("parquet")
