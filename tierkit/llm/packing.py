@@ -20,6 +20,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -94,10 +95,14 @@ class Words:
         buffer, ends = merged.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
         self.pieces.update(zip(pieces, (buffer[a:b] for a, b in zip([0, *ends], ends))))
 
-    def _learn(self, stretches: set[str]) -> None:
+    def _learn(self, stretches: set[str], marked: bool) -> None:
         split, new = {}, set()
         for s in stretches:
-            if len(s) <= self._LONGEST and self._SIMPLE.fullmatch(s) and not any(m in s for m in self.marks):
+            if len(s) <= self._LONGEST and s.isascii() and s.isalpha():  # one piece
+                split[s] = found = [s.lower()]
+                if found[0] not in self.pieces:
+                    new.add(found[0])
+            elif len(s) <= self._LONGEST and self._SIMPLE.fullmatch(s) and not (marked and any(m in s for m in self.marks)):
                 split[s] = found = self._PIECE.findall(s.lower())
                 new.update(p for p in found if p not in self.pieces)
             else:
@@ -116,9 +121,9 @@ class Words:
             self.pieces = {}
         split = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.stretches
-        new = {s for found in split for s in found if s not in known}
+        new = set(chain.from_iterable(split)).difference(known)
         if new:
-            self._learn(new)
+            self._learn(new, any(m in t for m in self.marks for t in texts))
         return [np.frombuffer(b"".join(map(known.__getitem__, found)), "<u4") for found in split]
 
 
