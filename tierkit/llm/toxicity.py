@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierkit.llm.words import mix, ranges, utf8
 from tierkit.operators._names import q
@@ -197,9 +198,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     is replaced.  Repeated rows and equal texts get equal scores.
     """
     columns = [c for c in docs.columns if c.lower() != score_col.lower()]
-    kind = f"row {docs.select(F.struct(*[q(c) for c in columns]).alias('row')).schema['row'].dataType.simpleString()}"
     rows = docs.select(F.struct(*[q(c) for c in columns]).alias("row"))
-    scored = rows.mapInArrow(_scorer(model, columns.index(text_col)), f"{kind}, score double")
+    kind = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])  # names need no quoting here
+    scored = rows.mapInArrow(_scorer(model, columns.index(text_col)), kind)
     return scored.select(*[F.col("row").getField(c).alias(c) for c in columns], F.col("score").alias(score_col))
 
 
