@@ -1,6 +1,8 @@
 import dataclasses
 import datetime as dt
+import itertools
 import json
+import os
 
 import pytest
 from pyspark.sql import types as T
@@ -34,9 +36,16 @@ def position(vehicle, when, trip="119010", block="B1", **extra):
     return rec
 
 
+LANDINGS = itertools.count()
+
+
 def land(scratch, field, records, name="r.json"):
+    """A landed response, a second later than the one landed before it: two files of
+    one clock tick would be ordered by their paths, which are random here."""
     d = scratch("landing")
     write_text(d, name, json.dumps({field: records}, indent=1))
+    at = CAPTURE.timestamp() + next(LANDINGS)
+    os.utime(os.path.join(d, name), (at, at))
     return d
 
 
