@@ -11,21 +11,31 @@ from tierkit.session import scratch_path
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
+#: Bytes of a batch that Spark hands to a Python worker.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def keep(df: DataFrame, label: str, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` under the session's checkpoint folder and read it back.
 
     The table outlives lost executors, and a retried task reads the same rows,
-    which a recomputed plan would not promise.
+    which a recomputed plan would not promise.  ``batch_bytes`` bounds the Arrow
+    batches of this write, for rows that hold whole texts.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(_DROP_SHUFFLES, None)
-    spark.conf.set(_DROP_SHUFFLES, "true")
+    during = {_DROP_SHUFFLES: "true"}
+    if batch_bytes is not None:
+        during[_BATCH_BYTES] = str(batch_bytes)
+    before = {name: spark.conf.get(name, None) for name in during}
+    for name, value in during.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_DROP_SHUFFLES)
-        else:
-            spark.conf.set(_DROP_SHUFFLES, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
