@@ -9,9 +9,19 @@ from pyspark.sql import types as T
 
 from helpers import write_text
 from tierkit.sources import ingest_envelope, read_table, write_table
-from tierkit.plans import LakePaths, bronze_dimension, bronze_fact, full_run, silver_dimension, silver_fact
+from tierkit.plans import (
+    LakePaths,
+    bronze_dimension,
+    bronze_fact,
+    full_run,
+    silver_dimension,
+    silver_fact,
+    silver_fact_unseen,
+    unseen_captures,
+)
 from tierkit.plans.feeds import transit_feeds
 from tierkit.plans.jobs import (
+    _captures_in,
     bronze_dimension_schema,
     bronze_fact_schema,
     silver_child_schema,
@@ -302,6 +312,76 @@ def test_first_by_landing_order_whatever_wrote_the_raw_table(spark, scratch):
         assert {r["StopID"]: r["Stop_Name"] for r in got} == want
 
 
+def test_unseen_captures_are_refined_once(spark, scratch):
+    _, feed = transit_feeds()
+    feed = dataclasses.replace(feed, write_mode="append", dedup_order=("DateTime",))
+    lake = LakePaths(scratch("lake"))
+    stamps = [CAPTURE + dt.timedelta(minutes=30 * i) for i in range(4)]  # over midnight
+
+    def capture(i, *vehicles):
+        records = [position(v, f"2025-01-01T2{i}:0{n}:00") for n, v in enumerate(vehicles)]
+        bronze_fact(spark, feed, land(scratch, "BusPositions", records), lake, stamps[i])
+
+    def held():
+        got = read_table(spark, lake.silver(feed.name), silver_fact_schema(feed))
+        return rows(got, "VehicleID", "fecha_consulta", "hora_consulta")
+
+    def stamp(i):
+        return stamps[i].date(), stamps[i].strftime("%H:%M:%S")
+
+    assert silver_fact_unseen(spark, feed, lake) == 0  # nothing landed
+    capture(0, "1", "1", "2")
+    assert silver_fact_unseen(spark, feed, lake) == 2
+    capture(1, "1")
+    capture(2, "1", "3", "3")
+    assert unseen_captures(spark, feed, lake) == [tuple(str(v) for v in stamp(i)) for i in (1, 2)]
+    assert silver_fact_unseen(spark, feed, lake) == 3  # keep-first within a capture, not across
+    assert silver_fact_unseen(spark, feed, lake) == 0
+    want = sorted([(1, *stamp(0)), (2, *stamp(0)), (1, *stamp(1)), (1, *stamp(2)), (3, *stamp(2))], key=repr)
+    assert held() == want
+
+    # A capture that cannot be refined adds no row of the run, and stays unseen.
+    capture(3, "1", "99999999")
+    with pytest.raises(Exception):
+        silver_fact_unseen(spark, feed, lake)
+    assert held() == want and unseen_captures(spark, feed, lake) == [tuple(str(v) for v in stamp(3))]
+    with pytest.raises(ValueError):
+        silver_fact_unseen(spark, dataclasses.replace(feed, write_mode="overwrite"), lake)
+    with pytest.raises(ValueError):
+        unseen_captures(spark, dataclasses.replace(feed, partition_cols=("RouteID",)), lake)
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_capture_without_a_row(spark, scratch, mode):
+    _, feed = transit_feeds()
+    feed = dataclasses.replace(feed, write_mode=mode)
+    lake = LakePaths(scratch("lake"))
+
+    def held():
+        return read_table(spark, lake.bronze(feed.name), bronze_fact_schema(feed)).count()
+
+    bronze_fact(spark, feed, land(scratch, "BusPositions", []), lake, CAPTURE)
+    assert held() == 0
+    bronze_fact(spark, feed, land(scratch, "BusPositions", [position("1", "2025-01-01T21:00:00")]), lake, CAPTURE)
+    assert held() == 1
+    # A shuffle that turns out empty as it runs, not only an empty scan.
+    bronze_fact(spark, feed, land(scratch, "BusPositions", []), lake, CAPTURE + dt.timedelta(minutes=1))
+    assert held() == (1 if mode == "append" else 0)
+
+
+def test_unseen_captures_prune_the_raw_scan(spark, scratch):
+    _, feed = transit_feeds()
+    lake = LakePaths(scratch("lake"))
+    feed = dataclasses.replace(feed, write_mode="append")
+    for minutes in (0, 1, 45):
+        bronze_fact(spark, feed, land(scratch, "BusPositions", [position("1", "2025-01-01T21:00:00")]), lake, CAPTURE + dt.timedelta(minutes=minutes))
+    raw = read_table(spark, lake.bronze(feed.name), bronze_fact_schema(feed))
+    some = raw.where(_captures_in([("2025-01-01", "23:33:35"), ("2025-01-02", "00:17:35")]))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan and "PushedFilters: []" in plan
+    assert some.count() == 2 and raw.where(_captures_in([])).count() == 0
+
+
 def ingest_envelope_rows(spark, feed, landing):
     from tierkit.sources.envelope import LANDED
 

@@ -146,6 +146,21 @@ def test_explode_chain_is_cross_product(spark):
     assert explode_columns(df, ["k", "w", "t"], ["w", "t"]).count() == 6
 
 
+def test_long_lists_are_exploded_by_chunks(spark):
+    data = [(1, list(range(1000)), ["x", "y", "z"]), (2, [], None), (3, None, ["w"] * 8), (4, [5, None], []), (4, [5, None], [])]
+    df = spark.createDataFrame(data, "k int, n array<int>, t array<string>")
+    want = sorted(
+        [(k, a, b) for k, n, t in data for a in (n or [None]) for b in (t or [None])], key=repr
+    )
+    for items in (1, 2, 7, 1000, 5000):
+        assert rows(explode_columns(df, ["k", "n", "t"], ["n", "t"], chunk_items=items)) == want
+    one = explode_columns(df, ["k", "n"], "n", chunk_items=10).where("k = 1")
+    held = [n for n in one.rdd.glom().map(len).collect() if n]
+    assert sum(held) == 1000 and len(held) > 1 and max(held) < 1000  # one row's items lie in several tasks
+    with pytest.raises(ValueError):
+        explode_columns(df, ["k", "n"], "n", chunk_items=0)
+
+
 def test_explode_non_list_warns_and_keeps(stops):
     with warnings.catch_warnings(record=True) as caught:
         warnings.simplefilter("always")

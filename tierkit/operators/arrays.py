@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,13 +28,33 @@ def parse_list_literal(df: DataFrame, col: str) -> DataFrame:
     raise TypeError(f"column {col!r} is {dtype.simpleString()}, neither text nor a list")
 
 
-def explode_columns(df: DataFrame, cols_to_select: str | Sequence[str], cols_to_explode: str | Sequence[str]) -> DataFrame:
+def _chunks(col: Column, items: int) -> Column:
+    """The list cut into lists of at most ``items``, in order; one chunk of its own
+    for an empty or null list."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(col), F.lit(1)), F.lit(items))
+    return F.when(F.size(col) > items, F.transform(starts, lambda at: F.slice(col, at, items))).otherwise(F.array(col))
+
+
+def explode_columns(
+    df: DataFrame,
+    cols_to_select: str | Sequence[str],
+    cols_to_explode: str | Sequence[str],
+    chunk_items: int | None = None,
+) -> DataFrame:
     """Select ``cols_to_select`` and turn each list in ``cols_to_explode`` into rows.
 
     An empty or null list gives one row with a null item; several exploded
     columns give their cross product per row.  A column that is not a list is
     left as it is, with a warning.  Narrow: no shuffle.
+
+    With ``chunk_items``, for lists so long that one row's items are too much for
+    the task that holds it: a list with more items is cut into chunks of at most
+    that many (several columns: into pairs of chunks), which are dealt over all
+    tasks and exploded there.  Only rows with such a list are shuffled, as chunks;
+    the input is read once for them and once for the others.  Same rows either way.
     """
+    if chunk_items is not None and chunk_items < 1:
+        raise ValueError("chunk_items must be positive")
     select = as_list(cols_to_select)
     explode = as_list(cols_to_explode)
     require(df, select + [c for c in explode if c not in select])
@@ -42,9 +62,24 @@ def explode_columns(df: DataFrame, cols_to_select: str | Sequence[str], cols_to_
     if not_selected:
         raise KeyError(f"columns to explode must be selected too: {not_selected}")
     out = df.select(*[q(c) for c in select])
+    lists = []
     for c in explode:
-        if not isinstance(out.schema[c].dataType, T.ArrayType):
+        if isinstance(out.schema[c].dataType, T.ArrayType):
+            lists.append(c)
+        else:
             warnings.warn(f"column {c!r} does not hold lists; left as it is", stacklevel=2)
-            continue
-        out = out.withColumn(c, F.explode_outer(q(c)))
-    return out
+    if chunk_items is None or not lists:
+        return _explode(out, lists)
+    long = F.greatest(*[F.coalesce(F.size(q(c)), F.lit(0)) for c in lists], F.lit(0)) > chunk_items
+    cut = out.where(long)
+    for c in lists:
+        cut = cut.withColumn(c, F.explode(_chunks(q(c), chunk_items)))
+    # Dealt in turn, not by key: the chunks of one row must part.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _explode(out.where(~long), lists).union(_explode(cut.repartition(tasks), lists))
+
+
+def _explode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.explode_outer(q(c)))
+    return df

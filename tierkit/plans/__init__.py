@@ -10,6 +10,8 @@ from tierkit.plans.jobs import (
     full_run,
     silver_dimension,
     silver_fact,
+    silver_fact_unseen,
+    unseen_captures,
 )
 
 __all__ = [
@@ -23,4 +25,6 @@ __all__ = [
     "full_run",
     "silver_dimension",
     "silver_fact",
+    "silver_fact_unseen",
+    "unseen_captures",
 ]

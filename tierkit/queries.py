@@ -39,6 +39,7 @@ from tierkit.plans import (
     full_run,
     silver_dimension,
     silver_fact,
+    silver_fact_unseen,
 )
 from tierkit.plans.feeds import transit_feeds
 from tierkit.plans.jobs import (
@@ -55,6 +56,7 @@ from tierkit.streaming import incremental_append, incremental_merge
 
 # Declared schemas of the driver's tables (never inferred).
 TABLES = {
+    "documents": "doc_id bigint, text string",
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -74,6 +76,7 @@ TABLES = {
 
 CAPTURE = dt.datetime(2025, 1, 1, 23, 32, 35)
 LATER = dt.datetime(2025, 1, 2, 0, 2, 35)
+LATEST = dt.datetime(2025, 1, 2, 0, 32, 35)
 ISO_US = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -612,6 +615,35 @@ def q_fact_history_raw(spark, sf_dir):
     return read_table(spark, lake.bronze(positions.name), bronze_fact_schema(positions))
 
 
+def q_fact_unseen(spark, sf_dir):
+    """Refined history without naming captures: one capture is refined, three more
+    land, one of no row, and are refined together; a further run finds none."""
+    _, positions = transit_feeds()
+    positions = _ordered(dataclasses.replace(positions, write_mode="append"))
+    lake = LakePaths(scratch_path(spark, "fact-unseen"))
+    events = table(spark, sf_dir, "events")
+
+    def land(rows: DataFrame, capture: dt.datetime) -> None:
+        landing = _land(position_records(rows), spark, "landing-positions", positions.data_field)
+        bronze_fact(spark, positions, landing, lake, capture, multi_line=False)
+
+    land(events.where(F.col("event_type") == "view"), CAPTURE)
+    silver_fact_unseen(spark, positions, lake)
+    land(events, LATER)
+    land(events.where(F.col("value") < 0), LATER + dt.timedelta(minutes=15))  # no such row
+    land(events.where(F.col("event_type") == "error"), LATEST)
+    silver_fact_unseen(spark, positions, lake)
+    silver_fact_unseen(spark, positions, lake)
+    return read_table(spark, lake.silver(positions.name), silver_fact_schema(positions))
+
+
+def q_explode_chunked(spark, sf_dir):
+    """Words of every document, long lists cut into chunks that are dealt over tasks."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+    words = docs.select("doc_id", F.split("text", " ").alias("word"))
+    return explode_columns(words, ["doc_id", "word"], "word", chunk_items=64)
+
+
 def q_full_run(spark, sf_dir):
     stops, positions = transit_feeds()
     positions = _ordered(positions)
@@ -722,6 +754,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_landing_order": q_dedup_landing_order,
     "envelope_drift": q_envelope_drift,
     "fact_history_raw": q_fact_history_raw,
+    "fact_unseen": q_fact_unseen,
+    "explode_chunked": q_explode_chunked,
     "merge_column_order": q_merge_column_order,
     "impute_nan": q_impute_nan,
     "parse_list_long": q_parse_list_long,
@@ -922,6 +956,16 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_RAW_POSITION}, DATE '2025-01-01' AS fecha_consulta, '23:32:35' AS hora_consulta FROM events WHERE event_type = 'view' "
         f"UNION ALL SELECT {_RAW_POSITION}, DATE '2025-01-02' AS fecha_consulta, '00:02:35' AS hora_consulta FROM events"
     ),
+    "fact_unseen": " UNION ALL ".join(
+        f"(SELECT {_REFINED_POSITION}, DATE '{date}' AS fecha_consulta, '{time}' AS hora_consulta FROM events WHERE {rows} {_FIRST_POSITION})"
+        for rows, date, time in (
+            ("event_type = 'view'", "2025-01-01", "23:32:35"),
+            ("true", "2025-01-02", "00:02:35"),
+            ("value < 0", "2025-01-02", "00:17:35"),
+            ("event_type = 'error'", "2025-01-02", "00:32:35"),
+        )
+    ),
+    "explode_chunked": "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents WHERE text IS NOT NULL",
     "full_run": (
         "SELECT 'bronze_stops' AS table_name, CAST(p_partkey AS VARCHAR) AS k, p_name AS v, p_retailprice AS x FROM part "
         "UNION ALL SELECT 'bronze_positions', CAST(event_id AS VARCHAR), NULLIF(event_type, 'error'), value FROM events "

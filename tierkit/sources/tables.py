@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 import time
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,28 @@ def written_by_stream(spark: SparkSession, path: str) -> bool:
     return bool(log.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(log))
 
 
+def partition_values(spark: SparkSession, path: str, partition_cols: Sequence[str]) -> set[tuple[str | None, ...]]:
+    """The partitions that the table holds, as text, from its folder names alone:
+    no file is opened.  A publish under way counts (see ``readable``); an absent
+    table has none.  A folder without a file in it, as a failed write may leave
+    behind, is no partition.  Columns in the order of the folders."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    none = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.DEFAULT_PARTITION_NAME()
+    out: set[tuple[str | None, ...]] = set()
+    for root in readable(spark, path):
+        beside = Beside(spark, root)
+        names = "/".join(f"{c}=*" for c in partition_cols)
+        for status in beside.fs.globStatus(beside.child(beside.table, f"{names}/[!._]*")) or ():
+            folder = status.getPath().getParent()
+            values: list[str | None] = []
+            for _ in partition_cols:
+                text = unescape(folder.getName().split("=", 1)[1])
+                values.insert(0, None if text == none else text)
+                folder = folder.getParent()
+            out.add(tuple(values))
+    return out
+
+
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
     if cols is None:
         return []
@@ -139,14 +162,18 @@ def _aqe_on(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").strip().lower() == "true"
 
 
-def _rows_written(spark: SparkSession, seen: Observation, folder: str, fmt: str) -> int:
-    """What the write counted; if its plan had no place to count, the files say."""
+def _rows_written(spark: SparkSession, seen: Observation, folder: str, fmt: str, schema: T.StructType) -> int:
+    """What the write counted; if its plan had no place to count, as one that turned
+    out to be empty when it ran, the files say."""
     for _ in range(20):
-        told = seen._jo.getOrEmpty()
+        try:
+            told = seen._jo.getOrEmpty()
+        except Py4JJavaError:  # the place to count was dropped: a result without columns
+            break
         if told.contains("rows"):
             return int(told.apply("rows"))
         time.sleep(0.05)
-    return spark.read.format(fmt).load(folder).count()
+    return spark.read.format(fmt).schema(schema).load(folder).count()
 
 
 def write_table(
@@ -216,7 +243,7 @@ def write_table(
         writing = writing.partitionBy(*parts)
     try:
         writing.save(folder)
-        rows = _rows_written(df.sparkSession, seen, folder, fmt)
+        rows = _rows_written(df.sparkSession, seen, folder, fmt, df.schema)
     except BaseException:
         held.fs.delete(held.path(folder), True)
         raise
