@@ -2,7 +2,7 @@
 
 A word is a maximal run of bytes other than space and ``\\t\\n\\v\\f\\r``; A-Z
 are folded to a-z unless the caller asks for exact words.  Words become 64-bit hashes computed over whole chunks of
-documents at once (about a megabyte of text), so the per-document Python cost
+documents at once (a quarter of a megabyte of text), so the per-document Python cost
 does not depend on the document's length.  Memory is bounded by the chunk, or
 by eight bytes per word for a document longer than a chunk.
 """
@@ -16,7 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+#: A word array of eight bytes a byte of text is 2 MB, so a task's arrays stay near
+#: the caches and a reused worker keeps little freed memory.
+CHUNK_BYTES = 1 << 18
 _U = np.uint64
 _M64 = (1 << 64) - 1
 
