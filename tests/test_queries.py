@@ -40,3 +40,15 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["table_name", "k", "v", "x"]
     assert df.select("table_name").distinct().count() == 5
+
+
+def test_full_run_refines_ids_as_wide_as_their_tables(spark, tmp_path):
+    # Ids of many users and events: beyond two and four bytes, as its SQL tells them.
+    events = spark.read.parquet(f"{SMOKE_DIR}/events.parquet").limit(40)
+    events = events.selectExpr("event_id + 3000000000 event_id", "ts", "user_id + 40000 user_id", "event_type", "value", "props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet(f"{SMOKE_DIR}/part.parquet").write.parquet(f"{tmp_path}/part.parquet")
+    got = QUERIES["full_run"](spark, str(tmp_path)).where("table_name = 'silver_positions'")
+    want = events.selectExpr("cast(user_id as string) k", "cast(event_id as string) v", "ts").groupBy("k").agg({"ts": "count"})
+    assert sorted(r["k"] for r in got.collect()) == sorted(r["k"] for r in want.collect())
+    assert all(int(r["v"]) >= 3000000000 for r in got.collect())
