@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tierkit.llm import merkle
@@ -85,3 +86,13 @@ def test_empty_table_and_single_row(spark):
     assert merkle.manifest(spark.createDataFrame([], schema)).collect() == []
     (row,) = merkle.manifest(spark.createDataFrame([(1, "s", "en", 2, "ab")], schema)).collect()
     assert row["leaf"] == row["subroot"] == row["root"] == row["folded_root"] and row["verified"] and row["left"] == []
+
+
+def test_a_task_holds_few_proofs_at_a_time():
+    """What one group hands back: its leaves with all digests of their proofs."""
+    n = merkle.BLOCK
+    rows = pd.DataFrame({"pos": range(n), "n": [16**5] * n, "id": range(n), "leaf": [H(str(i)) for i in range(n)], "altered": [H(str(i)) for i in range(n)]})
+    outer = pd.DataFrame({"left": [["x" * 960] * 3], "right": [["y" * 960] * 3], "subroot": ["s"], "root": ["r"]})
+    done = merkle._finish(rows, outer)
+    assert len(done) == n
+    assert sum(len(s) for c in ("left", "right") for of in done[c] for s in of) < 4 << 20

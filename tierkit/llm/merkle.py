@@ -29,7 +29,7 @@ from tierkit.operators._names import q
 
 FAN = 16
 #: Levels of a superblock's subtree, and its leaves.
-LOCAL = 3
+LOCAL = 2
 BLOCK = FAN**LOCAL
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
