@@ -329,6 +329,28 @@ def test_passages_that_meet_several_sources(documents):
     assert {f[0] for f in found} == {*want, *range(402, 522, 10)}
 
 
+def test_changed_passages_whose_seeds_many_hold(documents):
+    rng = random.Random(14)
+    fill = lambda n: [f"k{rng.randrange(10**9)}" for _ in range(n)]
+    thirds = [fill(40) for _ in range(3)]  # each shorter than a passage, in six documents
+    rows = [(10 * j + i, [*fill(30), *t, *fill(30)]) for j, t in enumerate(thirds) for i in range(6)]
+    whole = sum(thirds, [])
+    changed = [w if i not in (40, 80) else f"x{i}" for i, w in enumerate(whole)]
+    rows += [(50, [*fill(20), *whole, *fill(20)]), (60, [*fill(30), *changed, *fill(5)]), (60, [*fill(7), *changed])]
+    rows += [(70, rows[-2][1])] + [(i, rows[18][1]) for i in (80, 81)]
+    found = passage_rows(substring.repeated_passages(documents([(i, " ".join(w)) for i, w in rows])))
+    assert sorted(f for f in found if f[0] == 60) == [(60, 50, 7, 127), (60, 50, 30, 150)]
+    assert {f[0] for f in found} == {60, 70, 80, 81}
+
+
+def test_blocks_of_one_diagonal():
+    rng = random.Random(15)
+    for _ in range(50):
+        at = sorted(rng.sample(range(400), 30))
+        seed, x = np.arange(30), np.array(at)
+        assert substring.stretches([(p, p + 9) for p in at], 32) == substring.blocks(seed, x, seed, x + 9, 32)
+
+
 def test_chain_takes_the_best_predecessor_within_the_gap():
     near = [(300, 300, 310, 310), (318, 314, 328, 324), (336, 328, 346, 338)]
     assert near in substring.chain([(0, 0, 195, 195), *near])
