@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -20,6 +21,7 @@ from tokenizers import Tokenizer
 from tierkit.llm import ann, bpe, chat, outliers, packing, shards, substring, toxicity
 from tierkit.llm.lines import drop_boilerplate
 from tierkit.llm.words import ranges, utf8
+from tierkit.session import checkpoint_root
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -343,6 +345,24 @@ def test_changed_passages_whose_seeds_many_hold(documents):
     assert {f[0] for f in found} == {60, 70, 80, 81}
 
 
+def test_passages_in_rounds_and_what_stays_on_disk(documents, spark, monkeypatch):
+    rng = random.Random(16)
+    fill = lambda n: [f"k{rng.randrange(10**9)}" for _ in range(n)]
+    shared = [fill(70) for _ in range(4)]
+    rows = [(i, " ".join([*fill(20), *shared[i % 4], *fill(20), *["of"] * (30 + i), *fill(9)])) for i in range(40)]
+    folder = f"{checkpoint_root(spark)}/tierkit-scratch".removeprefix("file:")
+    before = {*os.listdir(folder)} if os.path.isdir(folder) else set()
+    whole = passage_rows(substring.repeated_passages(documents(rows)))
+    made = {*os.listdir(folder)} - before
+    assert {x.rpartition("-")[0] for x in made} <= {"passages", "wanted", "open", "classes", "least"}
+    kept = sum(x.startswith("passages-") for x in made)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(substring, "ROUND_BYTES", max(1, 20_000 // tasks))
+    assert passage_rows(substring.repeated_passages(documents(rows))) == whole
+    assert sum(x.startswith("passages-") for x in {*os.listdir(folder)} - before - made) > kept
+    assert {f[0] for f in whole} >= {*range(4, 40)}
+
+
 def test_blocks_of_one_diagonal():
     rng = random.Random(15)
     for _ in range(50):

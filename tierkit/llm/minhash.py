@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierkit.llm.components import components
-from tierkit.llm.scratch import keep
+from tierkit.llm.scratch import drop, keep
 from tierkit.llm.words import chunks, shingles, splitmix
 from tierkit.operators._names import q
 
@@ -309,6 +309,7 @@ def near_duplicates(
         .applyInArrow(linker, "a long, b long")
     )
     labels = _merge(labels, keep(links, "links"))
+    drop(live, sets)
 
     found = (
         sketch.select("id", "text_hash", "n_shingles", "digest")
