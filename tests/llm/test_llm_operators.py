@@ -363,6 +363,30 @@ def test_passages_in_rounds_and_what_stays_on_disk(documents, spark, monkeypatch
     assert {f[0] for f in whole} >= {*range(4, 40)}
 
 
+def test_extensions_at_once_are_those_one_by_one():
+    rng = np.random.default_rng(17)
+    for share in (0.2, 0.5, 0.8, 1.0):
+        same = rng.random((200, substring.NEAR)) < share
+        taken, over = substring._reach(same)
+        ones = np.ones(substring.NEAR, int)
+        for row, n, ended in zip(same, taken, over):
+            assert n == substring._extend(ones, np.where(row, 1, 0))[0]
+            more = np.append(np.where(row, 1, 0), np.ones(99, int))
+            assert not ended or n == substring._extend(np.ones(len(more), int), more)[0]
+
+
+def test_chains_too_short_are_left_out_alone():
+    rng = random.Random(18)
+    for _ in range(200):
+        found = set()
+        for _ in range(rng.randint(1, 40)):
+            x, y, n = rng.randrange(300), rng.randrange(300), rng.choice([0, 3, 9, 25, 60])
+            found.add((x, y, x + n, y + n))
+        found = sorted(found)
+        whole = substring.chain(found, max_gap=32)
+        assert substring.chain(found, max_gap=32, min_span=18) == [p for p in whole if p[-1][2] - p[0][0] >= 18]
+
+
 def test_blocks_of_one_diagonal():
     rng = random.Random(15)
     for _ in range(50):
