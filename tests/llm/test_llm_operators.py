@@ -345,6 +345,41 @@ def test_changed_passages_whose_seeds_many_hold(documents):
     assert {f[0] for f in found} == {60, 70, 80, 81}
 
 
+def test_pairs_that_share_one_short_line_are_no_table(documents, monkeypatch):
+    rng = random.Random(18)
+    fill = lambda n: [f"n{rng.randrange(10**9)}" for _ in range(n)]
+    line, n = fill(40), 60
+    rows = [(i, " ".join([*fill(30), *line, *fill(30)])) for i in range(n)]
+    tail = fill(20)  # behind a changed word: two that make a passage of the line
+    rows += [(n + i, " ".join([*fill(12), *line, f"x{i}", *tail, *fill(30)])) for i in range(2)]
+    most, keep = [], substring.keep
+
+    def counted(df, label, *rest):
+        table = keep(df, label, *rest)
+        most.append((table.count(), label))
+        return table
+
+    monkeypatch.setattr(substring, "keep", counted)
+    found = passage_rows(substring.repeated_passages(documents(rows)))
+    assert found == [(n + 1, n, 12, 73)]
+    of_pairs = [rows for rows, label in most if label in ("pairs", "chained", "passages")]
+    assert max(of_pairs) < 4 * n  # all pairs are n * n / 2
+
+
+def test_rest_of_passages_in_any_cells(documents, monkeypatch):
+    rng = random.Random(19)
+    vocabulary = [f"o{i}" for i in range(4)]
+    rows = []
+    for i in range(16):  # stretches of one word, in any order, few of them of fifty words
+        words = [w for w in rng.choices(vocabulary, k=5) for _ in range(rng.randint(10, 40))]
+        rows.append((i, " ".join([*words, *[f"p{rng.randrange(10**9)}" for _ in range(9)]])))
+    whole = sorted(passage_rows(substring.repeated_passages(documents(rows))))
+    assert len({f[0] for f in whole}) > 8
+    for name, value in (("BLOCK_BYTES", 40_000), ("CELLS", 4), ("CELL_PAIRS", 8), ("MATCHES", 50)):
+        monkeypatch.setattr(substring, name, value)
+    assert sorted(passage_rows(substring.repeated_passages(documents(rows)))) == whole
+
+
 def test_passages_in_rounds_and_what_stays_on_disk(documents, spark, monkeypatch):
     rng = random.Random(16)
     fill = lambda n: [f"k{rng.randrange(10**9)}" for _ in range(n)]
